@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Module of each problem; a query is every public function named pN_....
-MODULES = ("components", "neardup")
+MODULES = ("components", "neardup", "sentences")
 
 
 def queries() -> dict:
