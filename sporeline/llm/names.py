@@ -110,8 +110,8 @@ def parse(raw: str | None) -> list[tuple[str, str, str, str]]:
 
 def stem(epithet: str) -> str:
     """The epithet without its gender ending."""
-    for a, b in (("ior", "io"), ("ius", "io"), ("us", ""), ("um", ""), ("os", ""), ("is", "i"), ("a", ""), ("e", "i")):
-        if epithet.endswith(a) and len(epithet) - len(a) >= 3:
+    for a, b in (("us", ""), ("um", ""), ("os", ""), ("is", "i"), ("a", ""), ("e", "i")):
+        if epithet.endswith(a) and len(epithet) - len(a) >= 2:
             return epithet[: -len(a)] + b
     return epithet
 
@@ -185,7 +185,7 @@ def likeness(a: str, b: str) -> float:
             s, t = t, s
         if t.startswith(s):
             return 0.98
-        return max(0.0, 1 - slips(s, t[: len(s)]) / max(len(s), 1)) if len(s) >= 4 else 0.0
+        return max(0.0, 1 - min(slips(s, t[:k]) for k in (len(s) - 1, len(s), len(s) + 1)) / max(len(s), 1)) if len(s) >= 4 else 0.0
     return max(0.0, 1 - slips(a, b) / max(len(a), len(b)))
 
 
@@ -206,7 +206,7 @@ def similarity(a: tuple, b: tuple) -> float:
         return 0.0
     s1, s2 = stem(e1), stem(e2)
     if s1 != s2:
-        if slips(s1, s2) > 1 or min(len(s1), len(s2)) < 4 or min(n1, n2) > 0.12 * max(n1, n2) + 1:
+        if min(slips(s1, s2), slips(e1, e2)) > 1 or max(len(e1), len(e2)) < 5 or min(n1, n2) > 0.12 * max(n1, n2) + 1:
             return 0.0
     g = likeness(g1, g2)
     if g < 0.75:
@@ -305,7 +305,7 @@ def linked_names(rows: DataFrame) -> DataFrame:
     pairs, _ = materialize(met.select("key", F.col("id").alias("a")).join(met.select("key", F.col("id").alias("b")), "key").filter("a < b").select("a", "b").distinct(), "name-pairs")
     side = lambda c: two.select(F.col("id").alias(c), *[F.col(p).alias(f"{p}_{c}") for p in _PARTS])
     links, _ = materialize(pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(_verify, "a long, b long, sim double"), "name-links")
-    whole = F.when(F.col("genus").endswith("."), 0).otherwise(1) + F.when(F.col("authors") != "", 1).otherwise(0)
+    whole = F.when(F.col("genus").endswith("."), 0).otherwise(2) + F.when(F.col("authors") == "", 0).when(F.col("authors").contains("."), 1).otherwise(2)
     stars = star_clusters(links, two.select("id", (whole * 1000 + F.least(F.col("n"), F.lit(99))).alias("weight")))
     of_name = folded.select(F.col("rec"), F.explode("ids").alias("name_id")).join(stars.withColumnRenamed("id", "rec"), "rec", "left").select("name_id", F.coalesce("centre", "rec").alias("centre"))
     of_row = named.join(spelled.select("name", F.col("id").alias("name_id")), "name").join(of_name, "name_id").select("id", "centre")
