@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Module of each problem; a query is every public function named pN_....
-MODULES = ("components", "neardup", "sentences", "languages", "chunking", "names", "packing", "mixing", "subjects")
+MODULES = ("components", "neardup", "sentences", "languages", "chunking", "names", "packing", "mixing", "subjects", "scans")
 
 
 def queries() -> dict:
