@@ -34,12 +34,13 @@ from sporeline.plans.storage import materialize
 from sporeline.sources.tables import table
 
 BUCKETS, DIM, PARTS = 1 << 15, 24, 6
-LABELLED, UNLABELLED = 5000, 5000
+LABELLED, UNLABELLED = 2000, 1000
 LEAST_SHARE = 0.25
 LEAST_BATCHES = 30
 _ABBREVIATIONS = "cf vgl Fig Abb fig al St Mt Nr No no bzw Dr excl ср рис др см".split()
-_STOP = "".join(rf"(?<!\b{a})" for a in _ABBREVIATIONS) + r"(?<!\b\w)\."
-_SPLIT = re.compile(rf"(?:{_STOP}|[!?])[\"'»”“’)]*\s+(?=[\"'«„“(¿¡]?[^\W\d_a-z])|(?<=[^\W\d]{{3}})\.(?=[^\W\d_a-z])|[。！？।]+(?![」』”])|\n\s*\n")
+_NO_STOP = "".join(rf"(?<!\b{a}\.)" for a in _ABBREVIATIONS) + r"(?<!\b\w\.)"
+_AFTER = r"[\"'»”“’)]*\s+(?=[\"'«„“(¿¡]?[^\W\d_a-z])"
+_SPLIT = re.compile(rf"[.!?。！？।\n](?:(?<=\.){_NO_STOP}{_AFTER}|(?<=[!?]){_AFTER}|(?<=[^\W\d]{{3}}\.)(?=[^\W\d_a-z])|(?<=[。！？।])[。！？।]*(?![」』”])|(?<=\n)[^\S\n]*\n\s*)")
 _TOKEN = re.compile(r"[^\W\d_]+|[\x00\x01]")
 
 
@@ -101,7 +102,7 @@ def logits(model: Model, table_: np.ndarray, ids: np.ndarray, first: np.ndarray)
     return np.add.reduceat(table_[ids], first, 0) / n[:, None] + model.b
 
 
-def local_pass(model: Model, ids: np.ndarray, first: np.ndarray, target: np.ndarray, buckets: list[list[int]], rate: float, seed: int, batch: int = 64) -> None:
+def local_pass(model: Model, ids: np.ndarray, first: np.ndarray, target: np.ndarray, buckets: list[list[int]], rate: float, seed: int, batch: int = 128) -> None:
     """Mini-batches over sentences, in place: one pass, or as many as make ``LEAST_BATCHES`` of few sentences."""
     n_sent = len(first)
     ends = np.append(first[1:], len(ids))
@@ -211,6 +212,7 @@ def _round(sent, number: int, relabel: bool, rate: float):
 
 def train(rows: DataFrame, model: Model, rounds: int, relabel_from: int, rate: float = 0.12) -> Model:
     """Rounds over ``rows(part, doc_id, text, labels)``: weights out, a local pass per part, averaged changes back."""
+    rows = rows.repartition(PARTS, "part")
     for r in range(rounds):
         sent = rows.sparkSession.sparkContext.broadcast(model)  # BUCKETS x DIM floats, whatever the data
         got = rows.groupBy("part").applyInPandas(_round(sent, r, r >= relabel_from, rate), "k binary, e binary, w binary, b binary").collect()  # a row per part
@@ -265,14 +267,14 @@ def _score(model: Model, docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, shares array<double>")
 
 
-def fit(docs: DataFrame, labels: DataFrame, subjects: list[str], rounds: int = 9, more: int = 4) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, subjects: list[str], rounds: int = 4, more: int = 1) -> Model | None:
     """Fit on the labelled sample, then on it and a sample of others with the labels of the first fit."""
     spark = docs.sparkSession
     part = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int").alias("part")
     known, _ = materialize(_labelled(docs, labels, subjects, LABELLED).select(part, "doc_id", "text", "labels"), "labelled")
     if not subjects or known.isEmpty():
         return None
-    model = train(known, Model(subjects), rounds, 3)
+    model = train(known, Model(subjects), rounds, 2)
     others = hashed_sample(docs.select("doc_id", "text").filter("doc_id is not null and text is not null"), "doc_id", UNLABELLED)
     scorer = Scorer(model)
     got = scorer.shares([r["text"] for r in others]) >= LEAST_SHARE if others else np.zeros((0, len(subjects)), bool)
