@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("lines",)
+MODULES = ("lines", "joins", "analysis")
 
 
 def queries() -> dict:
