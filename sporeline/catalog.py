@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("lines", "joins", "analysis")
+MODULES = ("lines", "joins", "analysis", "streams")
 
 
 def queries() -> dict:
