@@ -252,7 +252,7 @@ def fit(rows: list[tuple[str, str | None]], steps: int = 150, seed: int = 7) ->
         s, n = np.zeros(L), 0
         for w in u:
             if w in lexicon and w.lower() in lex:
-                v = lex[w.lower()] + 0.05
+                v = lex[w.lower()] + 0.5 * np.exp(prior)
                 s += np.log(v / v.sum()) - prior
                 n += 1
         if n < 3:

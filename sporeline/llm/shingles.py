@@ -69,6 +69,6 @@ def shingle_hashes(texts: list[str], k: int, ids: WordIds) -> tuple[np.ndarray,
     for i in np.flatnonzero((n > 0) & ~long):
         v = np.uint64(n[i])
         for x in h[at[i] : at[i + 1]]:
-            v = mix(np.array([v]))[0] + x
+            v = (mix(np.array([v])) + x)[0]
         out[bounds[i]] = v
     return mix(out), bounds
