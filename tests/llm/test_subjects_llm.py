@@ -88,3 +88,15 @@ def test_numbers_and_folds():
     assert C.line_number("– 231 –") == 231 and C.line_number("p. 12") == 12 and C.line_number("clxxvii") == 177 and C.line_number("1 7 7") == 177 and C.line_number("Table 7") is None
     assert C.fold("hyaliiie") == C.fold("hyaline") and C.fold("amy1oid") == C.fold("amyloid") and C.fold("branclied") == C.fold("branched")
     assert C.header_key("231  SPORE & HYPHA 9") == C.header_key("Sp0re & Hypha 9") == C.header_key("Spore & Hypha 9: 17")
+
+
+def test_no_header_of_an_article_is_dropped(spark):
+    names = [f"{a}{b} Notes" for a in ("Ad", "Be", "Go", "Ka", "Po") for b in ("ra", "vo", "zy", "pe")]
+    rows = [(p * 100 + k, "d0", n, p * 100 + k, p, 100 + p, None, "x") for p in range(1, 5) for k, n in enumerate(names)]
+    rows.append((9000, "d0", names[0], 9000, None, None, None, "x"))
+    long = "Spore " * 14
+    rows += [(9001 + p, "d0", long + end, 9001 + p, p, None, None, "x") for p in (1, 2) for end in [("one", "two")[p - 1]]]
+    per_row, _ = C.facts(spark.createDataFrame(rows, SECTIONS))
+    got = {r["section_id"]: C._headers(r["headers"]) for r in per_row.collect()}
+    assert all(got[p * 100 + k] == {C.header_key(n): 4} for p in range(1, 5) for k, n in enumerate(names))
+    assert got[9000] == {C.header_key(names[0]): 4} and got[9002] == got[9003] == {}
