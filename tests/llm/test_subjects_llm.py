@@ -98,5 +98,23 @@ def test_no_header_of_an_article_is_dropped(spark):
     rows += [(9001 + p, "d0", long + end, 9001 + p, p, None, None, "x") for p in (1, 2) for end in [("one", "two")[p - 1]]]
     per_row, _ = C.facts(spark.createDataFrame(rows, SECTIONS))
     got = {r["section_id"]: C._headers(r["headers"]) for r in per_row.collect()}
-    assert all(got[p * 100 + k] == {C.header_key(n): 4} for p in range(1, 5) for k, n in enumerate(names))
-    assert got[9000] == {C.header_key(names[0]): 4} and got[9002] == got[9003] == {}
+    assert all(got[p * 100 + k] == {C.line_hash("d0", n): 4} for p in range(1, 5) for k, n in enumerate(names))
+    assert got[9000] == {C.line_hash("d0", names[0]): 4} and got[9002] == got[9003] == {}
+
+
+def test_headers_that_run_or_stop_like_prose(spark):
+    rows, _ = sections()
+    n, want = 10_000, set()
+    for doc, head in (("e0", "Nova Hedwigia, 1987"), ("e1", "Smith et al."), ("e2", "Mycol. Res. 45")):
+        for page in range(1, 9):
+            for k, v in enumerate([f"{BODY[page % 4][:-1]},\n{head}\nand dry.", BODY[(page + 1) % 4]]):
+                rows.append((n, doc, v, 2 * page + k, page, 100 + page, None, "x"))
+                want |= {(n, "running_header", "")} if k == 0 else set()
+                n += 1
+    per_row, _ = C.facts(spark.createDataFrame(rows, SECTIONS))
+    edges = {r["section_id"]: (r["first"], r["last"]) for r in per_row.collect()}
+    assert edges[10_000] == (True, False) and edges[10_001] == (False, True)
+    assert edges[0] == (True, False) and edges[1] == (False, False) and edges[len(sections()[0]) - 1] == (False, False)
+    got = {tuple(r) for r in C.scan_cases(spark.createDataFrame(rows, SECTIONS)).collect()}
+    assert want <= got
+    assert {r for r in got if r[1] == "running_header" and r[0] >= 10_000} == want
