@@ -1,15 +1,16 @@
 """Near-duplicate records with small edits (problem 6).
 
 *Tensored banding.* One would like many tables, each keyed by five minhashes. Instead two
-small collections of sub-keys are made, ``X`` (8 keys of 2 minhashes) and ``Y`` (12 keys
-of 3): table ``(i, j)`` is keyed by the pair ``(X_i, Y_j)``, so 96 tables cost 52 minhashes
-in place of 480. Rows travel once per ``X_i`` with their ``Y`` minhashes, and the tables
+small collections of sub-keys are made, ``X`` (keys of 2 minhashes) and ``Y`` (keys of 2 or 3):
+table ``(i, j)`` is keyed by the pair ``(X_i, Y_j)``, so at threshold 0.8 96 tables (8 x 12 keys)
+cost 52 minhashes in place of 480. Rows travel once per ``X_i`` with their ``Y`` minhashes, and the tables
 ``(i, .)`` are formed where they arrive, by sorting. A candidate pair shares a key in at
-least one table; it is dropped early only if its 36 Y minhashes put it more than 3.3
+least one table; it is dropped early only if its Y minhashes put it more than 3.3
 standard deviations under the threshold, and then verified exactly on the shingle sets.
 
-Recall of the tables at similarity J is ``(1-(1-J^2)^8)(1-(1-J^3)^12)``: 0.94 at 0.6,
-0.985 at 0.7, 0.999 at 0.8. Exact copies are folded before banding, so their recall is 1.
+Recall of ``x`` keys of 2 and ``y`` keys of ``r`` minhashes at similarity J is ``(1-(1-J^2)^x)(1-(1-J^r)^y)``.
+``shape`` takes the numbers of keys from the threshold so that it is 0.99 or more there: 19 x 18 keys
+at 0.5 (0.990, and 0.9995 at 0.6), 8 x 12 at 0.8 (0.9995). Exact copies are folded before banding, so their recall is 1.
 
 Skew: copies are folded by a partial aggregation on a 128-bit fingerprint. Buckets are read
 as sorted runs, never as one value. A bucket ``X_i`` of more than ``HOT`` rows is split by
@@ -24,6 +25,7 @@ stands); extra columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -37,24 +39,53 @@ from sporeline.operators.skew import hot_keys
 from sporeline.plans.storage import materialize
 from sporeline.sources.tables import table
 
-X_KEYS, X_ROWS, Y_KEYS, Y_ROWS = 8, 2, 12, 3
+X_ROWS = 2
+#: Least expected recall of the tables for a pair at the threshold.
+RECALL = 0.99
 #: Rows of one bucket that are handled as one run.
 HOT = 4096
 BLOCK = 1024
-_SEEDS = mix(np.arange(1, X_KEYS * X_ROWS + Y_KEYS * Y_ROWS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
-_NX = X_KEYS * X_ROWS
 _BATCH = 512
 
 
-def _minhashes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+class Shape(NamedTuple):
+    """Numbers of X keys, Y keys and minhashes of a Y key."""
+
+    x: int
+    y: int
+    rows: int
+
+    def recall(self, j: float) -> float:
+        return (1 - (1 - j**X_ROWS) ** self.x) * (1 - (1 - j**self.rows) ** self.y)
+
+
+def shape(threshold: float) -> Shape:
+    """The keys for ``RECALL`` at the threshold: Y keys of 3 minhashes if 12 are enough, else of 2."""
+    part = 1 - (1 - RECALL) * 0.6  # of the Y keys; the X keys have the rest
+    got = Shape(8, 12, 3) if 1 - (1 - threshold**3) ** 12 >= part else Shape(8, 18, 2)
+    while 1 - (1 - threshold**got.rows) ** got.y < part:
+        got = got._replace(y=got.y + 1)
+    while got.recall(threshold) < RECALL:
+        got = got._replace(x=got.x + 1)
+    return got
+
+
+def _seeds(sh: Shape) -> np.ndarray:
+    return mix(np.arange(1, sh.x * X_ROWS + sh.y * sh.rows + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+
+
+def _minhashes(hashes: np.ndarray, bounds: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """One row per text: the minimum of each multiplicative hash over its shingles (texts have at least one)."""
-    out = np.empty((len(bounds) - 1, len(_SEEDS)), np.uint64)
-    for i, a in enumerate(_SEEDS):
+    out = np.empty((len(bounds) - 1, len(seeds)), np.uint64)
+    for i, a in enumerate(seeds):
         out[:, i] = np.minimum.reduceat(hashes * a, bounds[:-1])
     return out
 
 
-def _signer(k: int):
+def _signer(k: int, threshold: float = 0.5):
+    sh = shape(threshold)
+    seeds, nx = _seeds(sh), sh.x * X_ROWS
+
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = WordIds()
         for pdf in batches:
@@ -65,11 +96,11 @@ def _signer(k: int):
                 if not len(some):
                     continue
                 starts = b[:-1][some]
-                m = _minhashes(h, np.append(starts, b[-1]))
-                x = np.zeros((len(some), X_KEYS), np.uint64)
-                for i in range(X_KEYS):
+                m = _minhashes(h, np.append(starts, b[-1]), seeds)
+                x = np.zeros((len(some), sh.x), np.uint64)
+                for i in range(sh.x):
                     x[:, i] = mix(mix(m[:, 2 * i]) + m[:, 2 * i + 1] + np.uint64(i))
-                y = (mix(m[:, _NX:]) >> np.uint64(48)).astype(np.uint16)
+                y = (mix(m[:, nx:]) >> np.uint64(48)).astype(np.uint16)
                 prints = [xxhash.xxh3_128_digest(np.unique(h[s:e]).tobytes()) for s, e in zip(starts, b[1:][some])]
                 yield pd.DataFrame({"id": part["id"].to_numpy()[some], "content": prints, "x": list(x.view(np.int64)), "y": [r.tobytes() for r in y]})
 
@@ -109,23 +140,25 @@ def _near(y: np.ndarray, a: np.ndarray, b: np.ndarray, least: float) -> np.ndarr
     return (y[a] == y[b]).mean(1) >= least
 
 
-def _y_of(column: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint16).reshape(len(column), Y_KEYS * Y_ROWS)
+def _y_of(column: pd.Series, sh: Shape) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint16).reshape(len(column), sh.y * sh.rows)
 
 
-def _y_keys(y: np.ndarray, j: int) -> np.ndarray:
-    v = y[:, Y_ROWS * j : Y_ROWS * (j + 1)].astype(np.uint64)
-    return (v[:, 0] << np.uint64(32)) | (v[:, 1] << np.uint64(16)) | v[:, 2]
+def _y_keys(y: np.ndarray, j: int, sh: Shape) -> np.ndarray:
+    key = np.zeros(len(y), np.uint64)
+    for v in y[:, sh.rows * j : sh.rows * (j + 1)].T:
+        key = (key << np.uint64(16)) | v.astype(np.uint64)
+    return key
 
 
-def _bucket_pairs(least: float):
+def _bucket_pairs(least: float, sh: Shape):
     """Pairs of rows (sorted by key) that share a table key, per run of complete keys."""
 
     def of(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        x, ids, y = pdf["key"].to_numpy().view(np.uint64), pdf["id"].to_numpy(), _y_of(pdf["y"])
+        x, ids, y = pdf["key"].to_numpy().view(np.uint64), pdf["id"].to_numpy(), _y_of(pdf["y"], sh)
         found = []
-        for j in range(Y_KEYS):
-            order, runs = _runs(mix(x ^ mix(_y_keys(y, j))))
+        for j in range(sh.y):
+            order, runs = _runs(mix(x ^ mix(_y_keys(y, j, sh))))
             for a, b in _pairs_of_runs(order, runs):
                 ok = (x[a] == x[b]) & (ids[a] != ids[b])
                 a, b = a[ok], b[ok]
@@ -151,12 +184,12 @@ def _bucket_pairs(least: float):
     return stream
 
 
-def _block_pairs(least: float):
+def _block_pairs(least: float, sh: Shape):
     """Within a task one pair of blocks of one bucket: all pairs of a row of the one with a row of the other."""
 
     def of(key, pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = pdf[pdf["side"] != 1], pdf[pdf["side"] != 0]
-        y1, y2, i1, i2 = _y_of(left["y"]), _y_of(right["y"]), left["id"].to_numpy(), right["id"].to_numpy()
+        y1, y2, i1, i2 = _y_of(left["y"], sh), _y_of(right["y"], sh), left["id"].to_numpy(), right["id"].to_numpy()
         found = []
         for i in range(len(i1)):
             ok = ((y2 == y1[i]).mean(1) >= least) & (i2 != i1[i])
@@ -168,22 +201,23 @@ def _block_pairs(least: float):
 
 
 def candidate_pairs(signed: DataFrame, threshold: float, hot: int = HOT, block: int = BLOCK) -> DataFrame:
-    """Distinct ``(a, b)`` of ``signed(id, x, y)`` that share a key in at least one of the 96 tables."""
-    least = threshold - 3.3 * (threshold * (1 - threshold) / (Y_KEYS * Y_ROWS)) ** 0.5
+    """Distinct ``(a, b)`` of ``signed(id, x, y)`` that share a key in at least one of the tables."""
+    sh = shape(threshold)
+    least = threshold - 3.3 * (threshold * (1 - threshold) / (sh.y * sh.rows)) ** 0.5
     rows = signed.select(F.explode("x").alias("key"), "id", "y")
     big = hot_keys(signed.select(F.explode("x").alias("key")).groupBy("key").agg(F.count("*").alias("n")), "key", "n", hot)
     out = "a long, b long"
 
     def streamed(r: DataFrame) -> DataFrame:
-        return r.repartition("key").sortWithinPartitions("key").mapInPandas(_bucket_pairs(least), out)
+        return r.repartition("key").sortWithinPartitions("key").mapInPandas(_bucket_pairs(least, sh), out)
 
     if not big:
         return streamed(rows).distinct()
     is_big = F.col("key").isin(big)
     pairs = streamed(rows.filter(~is_big))
     # X buckets that are too large for one run: one key per table, so that each (i, j) goes its own way
-    part = lambda j: F.substring("y", 2 * Y_ROWS * j + 1, 2 * Y_ROWS)
-    keys = F.array(*[F.xxhash64("key", F.lit(j), part(j)) for j in range(Y_KEYS)])
+    part = lambda j: F.substring("y", 2 * sh.rows * j + 1, 2 * sh.rows)
+    keys = F.array(*[F.xxhash64("key", F.lit(j), part(j)) for j in range(sh.y)])
     direct, _ = materialize(rows.filter(is_big).select(F.explode(keys).alias("key"), "id", "y"), "direct")
     sizes = direct.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     sizes, _ = materialize(sizes, "bucket-sizes")
@@ -193,7 +227,7 @@ def candidate_pairs(signed: DataFrame, threshold: float, hot: int = HOT, block:
     own = met.filter(F.col("n") > hot).withColumn("nb", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
     # each row meets every block once: block pairs (lo, hi), lo = hi within a block
     sent = own.withColumn("other", F.explode(F.expr("sequence(0, nb - 1)"))).select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), F.expr("case when own = other then 2 when own < other then 0 else 1 end").alias("side"), "id", "y")
-    return pairs.union(sent.groupBy("key", "lo", "hi").applyInPandas(_block_pairs(least), out)).distinct()
+    return pairs.union(sent.groupBy("key", "lo", "hi").applyInPandas(_block_pairs(least, sh), out)).distinct()
 
 
 def _verifier(k: int, threshold: float):
@@ -225,7 +259,7 @@ def near_duplicates(records: DataFrame, k: int = 5, threshold: float = 0.8) -> t
     members gives the class of every record that has a shingle.
     """
     texts = records.filter("id is not null and text is not null").groupBy("id").agg(F.max("text").alias("text"))
-    signed, _ = materialize(texts.mapInPandas(_signer(k), "id long, content binary, x array<long>, y binary"), "signed")
+    signed, _ = materialize(texts.mapInPandas(_signer(k, threshold), "id long, content binary, x array<long>, y binary"), "signed")
     classes, _ = materialize(signed.groupBy("content").agg(F.min("id").alias("id"), F.min_by(F.struct("x", "y"), "id").alias("s")).select("content", "id", "s.x", "s.y"), "classes")
     members = signed.select("id", "content").join(classes.select("content", F.col("id").alias("rep")), "content").select("id", "rep")
     found, _ = materialize(candidate_pairs(classes.select("id", "x", "y"), threshold), "candidates")

@@ -90,3 +90,23 @@ def test_hot_buckets_in_blocks(spark):
 def test_runs():
     order, runs = N._runs(np.array([5, 1, 5, 2, 1, 5], np.uint64))
     assert sorted(runs[:, 1].tolist()) == [2, 3] and len(order) == 6
+
+
+def test_recall_follows_the_threshold():
+    assert N.shape(0.8) == (8, 12, 3)
+    assert all(N.shape(t).recall(t) >= 0.99 and N.shape(t).recall(t + 0.05) >= 0.99 for t in (0.4, 0.5, 0.6, 0.7, 0.8, 0.9))
+
+
+def test_pairs_near_the_threshold_are_found(spark):
+    rng = random.Random(12)
+    texts = []
+    for _ in range(150):
+        base = [rng.choice(WORDS) for _ in range(80)]
+        c = list(base)
+        for i in range(4, 80, 11):
+            c[i] = f"new{rng.randrange(10**6)}"
+        texts += [" ".join(base), " ".join(c)]
+    want = {(i, i + 1) for i in range(0, 300, 2) if 0.5 <= jaccard(texts[i], texts[i + 1], 3) <= 0.7}
+    assert len(want) >= 140
+    got = found(spark, texts, 3, 0.5)
+    assert len(got & want) >= 0.985 * len(want)
