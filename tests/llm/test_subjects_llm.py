@@ -118,3 +118,11 @@ def test_headers_that_run_or_stop_like_prose(spark):
     got = {tuple(r) for r in C.scan_cases(spark.createDataFrame(rows, SECTIONS)).collect()}
     assert want <= got
     assert {r for r in got if r[1] == "running_header" and r[0] >= 10_000} == want
+
+
+def test_words_shortened_in_reading():
+    words = {w: 200 for w in "modern stern horn corner clavate cleft inclined close hyaline margin smooth spores wide brown dome hymenium drum mode and".split()}
+    e = C.Editor(words)
+    e.train(sorted(words))
+    assert [e.repair(w) for w in ("modem", "comer", "davate", "indined")] == ["modern", "corner", "clavate", "inclined"]
+    assert [e.repair(w) for w in ("modern", "dome", "drum", "hymenium", "clavate")] == [None] * 5
