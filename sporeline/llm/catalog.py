@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-import importlib
+from sporeline.llm import chunking, components, languages, mixing, names, neardup, packing, scans, sentences, subjects
 
-#: Module of each problem; a query is every public function named pN_....
-MODULES = ("components", "neardup", "sentences", "languages", "chunking", "names", "packing", "mixing", "subjects", "scans")
+MODULES = (components, neardup, sentences, languages, chunking, names, packing, mixing, subjects, scans)
 
 
 def queries() -> dict:
-    found = {}
-    for m in MODULES:
-        mod = importlib.import_module(f"sporeline.llm.{m}")
-        found.update({k: getattr(mod, k) for k in vars(mod) if k.startswith("p") and k[1:2].isdigit()})
-    return found
+    """Every public function named pN_... of the problems' modules."""
+    return {k: f for m in MODULES for k, f in vars(m).items() if k.startswith("p") and k[1:2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
     for m in MODULES:
-        sql.update(getattr(importlib.import_module(f"sporeline.llm.{m}"), "SQL", {}))
+        sql.update(getattr(m, "SQL", {}))
     return sql

@@ -1,6 +1,5 @@
 import random
 
-from sporeline.llm import scans as C
 from sporeline.llm import subjects as S
 
 TERMS = {"law": ["court rulings", "appeal decisions", "permits"], "sport": ["team scores", "relay walks", "final rounds"], "food": ["baking yeast", "cheese cultures", "shelf life"]}
@@ -42,87 +41,3 @@ def test_subjects(spark):
 def test_long_text():
     m = S.Model(["a", "b"])
     assert S.Scorer(m).shares(["word sentence here. " * 30000, "", "x"]).shape == (3, 2)
-
-
-BODY = ["Spores smooth and hyaline in water, wide and amyloid.", "Basidia hyaline and smooth, rather wide.", "Hyphae amyloid, branched near the margin.", "The margin remained smooth and hyaline."]
-SECTIONS = "section_id long, doc_id string, value string, paragraph_number int, pdf_page int, empirical_page_number int, section_name string, loaded string"
-
-
-def sections():
-    rows, n = [], 0
-    for d in range(12):
-        p = 0
-        for page in range(1, 9):
-            for v in [f"{100 + page}  Fungi Noti {d + 3}", BODY[(d + page) % 4], BODY[(d + page + 1) % 4] + " " + BODY[page % 4]]:
-                rows.append((n, f"d{d}", v, p, page, 100 + page, None, "x"))
-                n += 1
-                p += 1
-    add = lambda v, page, printed=None, p=None: rows.append((len(rows), "d0", v, 900 + len(rows) if p is None else p, page, printed, None, "x"))
-    at = len(rows)
-    add("Spores smooth and hya-\nline in water.", 9, 109)
-    add("Spores smoofh and hyaliiie in water, l2.5 wide.", 9, 109)
-    add("109", 9, 109)
-    add("Basidia hyaline and", 9, 109)
-    add("110  Fungi Noti 3", 10, 110)
-    add("smooth, rather wide.", 10, 110)
-    add(None, 10)
-    add("  ", 10)
-    rows.append((len(rows), None, "Spores smoofh.", None, None, None, None, None))
-    return rows, at
-
-
-def test_scan_cases(spark):
-    rows, at = sections()
-    got = {tuple(r) for r in C.scan_cases(spark.createDataFrame(rows, SECTIONS)).collect()}
-    assert {(at, "hyphen", "hyaline"), (at + 1, "ocr", "smooth"), (at + 1, "ocr", "hyaline"), (at + 1, "ocr", "12.5"), (at + 2, "page_number", ""), (at + 3, "continues", ""), (at + 4, "running_header", "")} <= got
-    assert not any(k == "continues" and i < at for i, k, _ in got)
-    assert sum(k == "running_header" for _, k, _ in got) >= 12 * 8
-    assert (at + 8, "ocr", "smooth") in got
-
-
-def test_scan_empty(spark):
-    assert C.scan_cases(spark.createDataFrame([], SECTIONS)).count() == 0
-
-
-def test_numbers_and_folds():
-    assert C.line_number("– 231 –") == 231 and C.line_number("p. 12") == 12 and C.line_number("clxxvii") == 177 and C.line_number("1 7 7") == 177 and C.line_number("Table 7") is None
-    assert C.fold("hyaliiie") == C.fold("hyaline") and C.fold("amy1oid") == C.fold("amyloid") and C.fold("branclied") == C.fold("branched")
-    assert C.header_key("231  SPORE & HYPHA 9") == C.header_key("Sp0re & Hypha 9") == C.header_key("Spore & Hypha 9: 17")
-
-
-def test_no_header_of_an_article_is_dropped(spark):
-    names = [f"{a}{b} Notes" for a in ("Ad", "Be", "Go", "Ka", "Po") for b in ("ra", "vo", "zy", "pe")]
-    rows = [(p * 100 + k, "d0", n, p * 100 + k, p, 100 + p, None, "x") for p in range(1, 5) for k, n in enumerate(names)]
-    rows.append((9000, "d0", names[0], 9000, None, None, None, "x"))
-    long = "Spore " * 14
-    rows += [(9001 + p, "d0", long + end, 9001 + p, p, None, None, "x") for p in (1, 2) for end in [("one", "two")[p - 1]]]
-    per_row, _ = C.facts(spark.createDataFrame(rows, SECTIONS))
-    got = {r["section_id"]: C._headers(r["headers"]) for r in per_row.collect()}
-    assert all(got[p * 100 + k] == {C.line_hash("d0", n): 4} for p in range(1, 5) for k, n in enumerate(names))
-    assert got[9000] == {C.line_hash("d0", names[0]): 4} and got[9002] == got[9003] == {}
-
-
-def test_headers_that_run_or_stop_like_prose(spark):
-    rows, _ = sections()
-    n, want = 10_000, set()
-    for doc, head in (("e0", "Nova Hedwigia, 1987"), ("e1", "Smith et al."), ("e2", "Mycol. Res. 45")):
-        for page in range(1, 9):
-            for k, v in enumerate([f"{BODY[page % 4][:-1]},\n{head}\nand dry.", BODY[(page + 1) % 4]]):
-                rows.append((n, doc, v, 2 * page + k, page, 100 + page, None, "x"))
-                want |= {(n, "running_header", "")} if k == 0 else set()
-                n += 1
-    per_row, _ = C.facts(spark.createDataFrame(rows, SECTIONS))
-    edges = {r["section_id"]: (r["first"], r["last"]) for r in per_row.collect()}
-    assert edges[10_000] == (True, False) and edges[10_001] == (False, True)
-    assert edges[0] == (True, False) and edges[1] == (False, False) and edges[len(sections()[0]) - 1] == (False, False)
-    got = {tuple(r) for r in C.scan_cases(spark.createDataFrame(rows, SECTIONS)).collect()}
-    assert want <= got
-    assert {r for r in got if r[1] == "running_header" and r[0] >= 10_000} == want
-
-
-def test_words_shortened_in_reading():
-    words = {w: 200 for w in "modern stern horn corner clavate cleft inclined close hyaline margin smooth spores wide brown dome hymenium drum mode and".split()}
-    e = C.Editor(words)
-    e.train(sorted(words))
-    assert [e.repair(w) for w in ("modem", "comer", "davate", "indined")] == ["modern", "corner", "clavate", "inclined"]
-    assert [e.repair(w) for w in ("modern", "dome", "drum", "hymenium", "clavate")] == [None] * 5
