@@ -216,7 +216,7 @@ def _sample_units(texts: list[str]) -> list[list[str]]:
         own.append(w)
         if c:
             if len(own) > 1 or k != TEXT_END:
-                units.append(own[:24])
+                units.append(own)
             own = []
         if k == TEXT_END:
             all_units.append(units)

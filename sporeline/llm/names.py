@@ -4,8 +4,10 @@ A typed name is taken apart into genus, epithet, authors and year; remarks are d
 each distinct name two sets of padded q-grams are made, of genus and epithet and of epithet
 and authors, so that a name with a shortened genus and one without authors both meet the full
 name. MinHash bands over these sets give candidates; the number of bands follows from the
-collision curve ``1-(1-s^r)^b`` for the recall wanted at the lowest similarity that one slip
-leaves. Candidates are verified by Monge-Elkan similarity over their parts, with
+collision curve ``1-(1-s^r)^b`` for the recall wanted at ``LOWEST``, just under the lowest similarity (0.62) of
+any two names of the sf 0.1 table that the verification accepts, every pair of names compared; the curve expects
+0.9999 of those pairs. Two slips in a very short epithet beside a shortened genus leave 0.5 or less and are
+met with a probability of 0.8 or less. Candidates are verified by Monge-Elkan similarity over their parts, with
 shortened parts matching their beginnings, and then grouped by star clustering: names with
 the most verified neighbours become centres and take their neighbours; a name next
 to several centres goes to the one most like it.
@@ -13,8 +15,9 @@ to several centres goes to the one most like it.
 A part that is no slip of the other is told from a slip by counts over the whole table:
 two epithets that are both common are different ones, however alike.
 
-Skew: equal names are folded before banding and expanded at the end; a band bucket is
-joined by equality under adaptive skew splitting; candidates are distinct pairs.
+Skew: equal names are folded before banding and expanded at the end; a band bucket is joined block by block
+of ``BLOCK`` names; candidates are distinct pairs, and those whose epithets are more than a slip apart are dropped before they are verified;
+hot names, epithets, genera and entities are salted.
 
 Defined cases: null and blank names link to nothing; rows spelled alike are linked whatever
 they say; names of one word link only to their like; a name without authors that fits
@@ -36,10 +39,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sporeline.llm.shingles import mix
+from sporeline.operators.skew import hot_keys, salted_join
 from sporeline.plans.storage import materialize
 from sporeline.sources.tables import table
 
-Q, ROWS, LOWEST, RECALL = 3, 5, 0.6, 0.99
+Q, ROWS, LOWEST, RECALL = 2, 5, 0.6, 0.99
+#: Times that the first letter of the genus stands in the second view; rows of a band bucket that are joined as one block.
+INITIALS, BLOCK = 3, 1024
 BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - LOWEST**ROWS))
 LEAST_SIMILARITY = 0.8
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
@@ -51,7 +57,6 @@ _REMARK = re.compile(
 )
 _YEAR = re.compile(r"\b(1[5-9]\d\d|20\d\d)\b")
 _AND = re.compile(r"\s*(?:&|\b(?:and|et|und|y|ac)\b)\s*", re.IGNORECASE)
-_EPITHET_END = re.compile(r"(?:us|um|is|ens|ans|ior|ex|pes|cola|oides|ae|ii|i|a|e)$")
 
 
 def bare(raw: str) -> str:
@@ -122,13 +127,13 @@ def _grams(s: str, tag: str) -> set[str]:
 
 
 def views(genus: str, epithet: str, authors: str) -> list[set[str] | None]:
-    """Sets of padded q-grams: of genus and epithet, and of epithet and authors (those twice, and the first letter of the genus)."""
+    """Sets of padded q-grams: of genus and epithet, and of epithet, first author and ``INITIALS`` times the first letter of the genus."""
     e = _grams(stem(epithet), "e")
     whole = _grams(genus, "g") | e if not genus.endswith(".") and len(genus) > 2 else None
     if not authors:
         return [whole, None]
     first = authors.split()[0].strip(".")[:4]
-    return [whole, e | _grams(first, "a") | _grams(first, "b") | {"i1" + genus[:1], "i2" + genus[:1]}]
+    return [whole, e | _grams(first, "a") | {f"i{k}{genus[:1]}" for k in range(INITIALS)}]
 
 
 def _bander(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -186,7 +191,8 @@ def likeness(a: str, b: str) -> float:
         if t.startswith(s):
             return 0.98
         return max(0.0, 1 - min(slips(s, t[:k]) for k in (len(s) - 1, len(s), len(s) + 1)) / max(len(s), 1)) if len(s) >= 4 else 0.0
-    return max(0.0, 1 - slips(a, b) / max(len(a), len(b)))
+    n = slips(a, b)
+    return max(0.0, 1 - n / max(len(a), len(b))) if n <= 2 else 0.0  # slips counts no further
 
 
 def monge_elkan(a: list[str], b: list[str]) -> float:
@@ -295,22 +301,34 @@ def linked_names(rows: DataFrame) -> DataFrame:
     """``(id, entity)`` of ``rows(id, name)``: entity is the smallest id of those that name one thing; null names are left out."""
     named = rows.filter("id is not null and trim(coalesce(name, '')) <> ''").groupBy("id").agg(F.max("name").alias("name"))
     spelled, _ = materialize(named.groupBy("name").agg(F.min("id").alias("id")), "spelled")  # rows spelled alike are one
-    parts = parsed_names(spelled)
-    folded, _ = materialize(parts.groupBy("genus", "epithet", "authors", "year").agg(F.min("id").alias("rec"), F.collect_set("id").alias("ids")), "folded")
-    counted = folded.join(folded.groupBy("epithet").agg(F.sum(F.size("ids")).alias("n_epithet")), "epithet").join(folded.groupBy("genus").agg(F.sum(F.size("ids")).alias("n_genus")), "genus")
-    rec, _ = materialize(counted.select(F.col("rec").alias("id"), "genus", "epithet", "authors", "year", "n_epithet", "n_genus", F.size("ids").alias("n")), "records")
+    key = ["genus", "epithet", "authors", "year"]
+    parts, _ = materialize(parsed_names(spelled), "parts")
+    folded, _ = materialize(parts.groupBy(*key).agg(F.min("id").alias("rec"), F.count("*").alias("n")), "folded")
+
+    def counted(df: DataFrame, c: str) -> DataFrame:
+        per = folded.groupBy(c).agg(F.sum("n").alias(f"n_{c}"), F.count("*").alias("_rows"))
+        return salted_join(df, per.select(c, f"n_{c}"), c, hot_keys(per, c, "_rows"), F.col("rec"))
+
+    rec, _ = materialize(counted(counted(folded, "epithet"), "genus").select(F.col("rec").alias("id"), *key, "n_epithet", "n_genus", "n"), "records")
     two = rec.filter("epithet <> '' and genus <> ''")
-    bands, _ = materialize(two.select("id", "genus", "epithet", "authors").mapInPandas(_bander, "key long, id long"), "bands")
-    met = bands.join(bands.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key"), "key")
-    pairs, _ = materialize(met.select("key", F.col("id").alias("a")).join(met.select("key", F.col("id").alias("b")), "key").filter("a < b").select("a", "b").distinct(), "name-pairs")
+    bands, _ = materialize(two.select("id", "genus", "epithet", "authors").repartition("id").mapInPandas(_bander, "key long, id long"), "bands")
+    met = bands.join(bands.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"), "key").withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
+    left = met.select("key", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.col("id").alias("a"))
+    right = met.select("key", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.col("id").alias("b"))
+    pairs, _ = materialize(left.join(right, ["key", "block"]).filter("a < b").select("a", "b").distinct(), "name-pairs")
     side = lambda c: two.select(F.col("id").alias(c), *[F.col(p).alias(f"{p}_{c}") for p in _PARTS])
-    links, _ = materialize(pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(_verify, "a long, b long, sim double"), "name-links")
+    near = lambda f: F.levenshtein(f("epithet_a"), f("epithet_b"), 2) >= 0
+    bare_end = lambda c: F.regexp_replace(c, "(us|um|os|is|a|e)$", "")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(near(F.col) | near(bare_end))  # a slip is one edit, or two where letters changed places; an ending more
+    links, _ = materialize(both.mapInPandas(_verify, "a long, b long, sim double"), "name-links")
     whole = F.when(F.col("genus").endswith("."), 0).otherwise(2) + F.when(F.col("authors") == "", 0).when(F.col("authors").contains("."), 1).otherwise(2)
     stars = star_clusters(links, two.select("id", (whole * 1000 + F.least(F.col("n"), F.lit(99))).alias("weight")))
-    of_name = folded.select(F.col("rec"), F.explode("ids").alias("name_id")).join(stars.withColumnRenamed("id", "rec"), "rec", "left").select("name_id", F.coalesce("centre", "rec").alias("centre"))
-    of_row = named.join(spelled.select("name", F.col("id").alias("name_id")), "name").join(of_name, "name_id").select("id", "centre")
-    of_row, _ = materialize(of_row, "of-row")
-    return of_row.join(of_row.groupBy("centre").agg(F.min("id").alias("entity")), "centre").select("id", "entity")
+    of_name, _ = materialize(parts.join(folded.select(*key, "rec"), key).join(stars.withColumnRenamed("id", "rec"), "rec", "left").select(F.col("id").alias("name_id"), F.coalesce("centre", "rec").alias("centre")), "of-name")
+    names = spelled.select("name", F.col("id").alias("name_id")).join(of_name, "name_id").select("name", "centre")
+    of_row, _ = materialize(salted_join(named, names, "name", hot_keys(named.groupBy("name").agg(F.count("*").alias("n")), "name", "n"), F.col("id")).select("id", "centre"), "of-row")
+    first = of_row.groupBy("centre").agg(F.min("id").alias("entity"), F.count("*").alias("n"))
+    first, _ = materialize(first, "first-of-entity")
+    return salted_join(of_row, first.select("centre", "entity"), "centre", hot_keys(first, "centre", "n"), F.col("id")).select("id", "entity")
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:

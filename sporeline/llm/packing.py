@@ -86,8 +86,6 @@ def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int = CA
                     break
                 if fallback < 0:
                     fallback = b
-                if not c and fallback >= 0 and len(by_room[room]) > 64:
-                    break
             if found < 0:
                 found = fallback
             ahead &= ahead - 1

@@ -175,17 +175,19 @@ def shares(model: Model, table_: np.ndarray, ids: np.ndarray, first: np.ndarray,
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, subjects: list[str], bound: int) -> DataFrame:
-    """Texts and label bits of at most ``bound`` labelled documents."""
-    code = {s: 1 << i for i, s in enumerate(subjects)}
-    bits = F.coalesce(*[F.when(F.col("subject") == s, F.lit(b)) for s, b in code.items()], F.lit(0))
-    per_doc = labels.filter("doc_id is not null").select("doc_id", bits.cast("long").alias("bit")).filter("bit > 0").distinct().groupBy("doc_id").agg(F.sum("bit").alias("labels"))
-    kept = hashed_sample(per_doc, "doc_id", bound)  # at most bound rows of three numbers
-    sample = docs.sparkSession.createDataFrame([(r["doc_id"], r["labels"]) for r in kept], "doc_id long, labels long")
+    """Texts and label numbers of at most ``bound`` labelled documents."""
+    number = F.array_position(F.array(*[F.lit(s) for s in subjects]), F.col("subject")).cast("int") - 1
+    per_doc = labels.filter("doc_id is not null and subject is not null").select("doc_id", number.alias("label")).filter("label >= 0").groupBy("doc_id").agg(F.array_sort(F.collect_set("label")).alias("labels"))
+    kept = hashed_sample(per_doc, "doc_id", bound)  # at most bound rows
+    sample = docs.sparkSession.createDataFrame([(r["doc_id"], r["labels"]) for r in kept], "doc_id long, labels array<int>")
     return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
 
 def _bits(labels: pd.Series, k: int) -> np.ndarray:
-    return (labels.to_numpy()[:, None] >> np.arange(k)) & 1
+    out = np.zeros((len(labels), k), np.int64)
+    for i, own in enumerate(labels):
+        out[i, list(own)] = 1
+    return out
 
 
 def _round(sent, number: int, relabel: bool, rate: float):
@@ -271,22 +273,24 @@ def fit(docs: DataFrame, labels: DataFrame, subjects: list[str], rounds: int = 4
     """Fit on the labelled sample, then on it and a sample of others with the labels of the first fit."""
     spark = docs.sparkSession
     part = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int").alias("part")
+    if not subjects:
+        return None
     known, _ = materialize(_labelled(docs, labels, subjects, LABELLED).select(part, "doc_id", "text", "labels"), "labelled")
-    if not subjects or known.isEmpty():
+    if known.isEmpty():
         return None
     model = train(known, Model(subjects), rounds, 2)
     others = hashed_sample(docs.select("doc_id", "text").filter("doc_id is not null and text is not null"), "doc_id", UNLABELLED)
     scorer = Scorer(model)
     got = scorer.shares([r["text"] for r in others]) >= LEAST_SHARE if others else np.zeros((0, len(subjects)), bool)
-    guessed = [(r["doc_id"], r["text"], int((g << np.arange(len(subjects))).sum())) for r, g in zip(others, got) if g.any()]
-    both = known.unionByName(spark.createDataFrame(guessed, "doc_id long, text string, labels long").select(part, "doc_id", "text", "labels")) if guessed else known
+    guessed = [(r["doc_id"], r["text"], np.flatnonzero(g).tolist()) for r, g in zip(others, got) if g.any()]
+    both = known.unionByName(spark.createDataFrame(guessed, "doc_id long, text string, labels array<int>").select(part, "doc_id", "text", "labels")) if guessed else known
     both, _ = materialize(both, "with-guessed")
     return train(both, model, more, 0)
 
 
 def document_subjects(docs: DataFrame, labels: DataFrame, subjects: DataFrame) -> DataFrame:
     """``doc_id, subject, share`` of the subjects of every document."""
-    names = [r["subject"] for r in subjects.select("subject").filter("subject is not null").distinct().orderBy("subject").limit(62).collect()]  # a fixed list
+    names = [r["subject"] for r in subjects.select("subject").filter("subject is not null").distinct().orderBy("subject").collect()]  # a fixed list
     model = fit(docs, labels, names)
     if model is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, subject string, share double")
