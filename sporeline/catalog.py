@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("lines", "joins", "analysis", "streams", "records")
+MODULES = ("lines", "joins", "analysis", "streams", "records", "texts")
 
 
 def queries() -> dict:
