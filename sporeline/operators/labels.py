@@ -17,9 +17,9 @@ MOST_BETWEEN = 4
 
 
 def clean_lines(lines: DataFrame) -> DataFrame:
-    """One row per (doc_id, line_number), the first loaded, with its canonical label."""
+    """One row per (doc_id, line_number), the first loaded, with its canonical label; by article, so that all windows over an article share one shuffle."""
     first = F.min_by(F.struct("label", "line"), "line_id").alias("r")
-    return lines.filter("doc_id is not null and line_number is not null").groupBy("doc_id", "line_number").agg(first).select("doc_id", "line_number", canonical_label(F.col("r.label")).alias("label"), F.col("r.line").alias("line"))
+    return lines.filter("doc_id is not null and line_number is not null").repartition("doc_id").groupBy("doc_id", "line_number").agg(first).select("doc_id", "line_number", canonical_label(F.col("r.label")).alias("label"), F.col("r.line").alias("line"))
 
 
 def coalesce_blocks(lines: DataFrame, blank_breaks: bool = False) -> DataFrame:

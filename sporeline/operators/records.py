@@ -47,29 +47,17 @@ def url_id(url) -> Column:
     return F.pandas_udf(_url_ids, "string")(url)
 
 
+_DECODER = json.JSONDecoder()
+
+
 def balanced_json(text: str | None) -> str | None:
-    """First balanced JSON object in noisy text that parses; braces in strings do not count."""
-    if not text:
-        return None
-    for m in re.finditer(r"\{", text):
-        depth, quoted, escaped = 0, False, False
-        for i in range(m.start(), len(text)):
-            c = text[i]
-            if escaped:
-                escaped = False
-            elif c == "\\":
-                escaped = quoted
-            elif c == '"':
-                quoted = not quoted
-            elif not quoted:
-                depth += (c == "{") - (c == "}")
-                if depth == 0:
-                    part = text[m.start() : i + 1]
-                    try:
-                        json.loads(part)
-                        return part
-                    except ValueError:
-                        break
+    """First JSON object that parses in noisy text, as it stands there."""
+    at = text.find("{") if text else -1
+    while at >= 0:
+        try:
+            return text[at : _DECODER.raw_decode(text, at)[1]]
+        except (ValueError, RecursionError):
+            at = text.find("{", at + 1)
     return None
 
 
@@ -138,37 +126,63 @@ def nested_labels(text: str) -> list[tuple[str, str | None]]:
     return out
 
 
-def align_blocks(old: list[tuple[str, str]], new: list[str]) -> list[str | None]:
-    """Tags of new blocks carried over from old ones along the longest common subsequence of their texts."""
-    tags: list[str | None] = [None] * len(new)
-    for a, b, n in difflib.SequenceMatcher(None, [t for t, _ in old], new, autojunk=False).get_matching_blocks():
-        for k in range(n):
-            tags[b + k] = old[a + k][1]
-    return tags
+def align_blocks(old: list[tuple[str, str]], new: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The old blocks, each with the tag of the new block it is matched to along the longest common subsequence of texts, else its own."""
+    out = list(old)
+    for run in difflib.SequenceMatcher(None, [t for t, _ in old], [t for t, _ in new], autojunk=False).get_matching_blocks():
+        out[run.a : run.a + run.size] = [(t, tag) for (t, _), (_, tag) in zip(out[run.a : run.a + run.size], new[run.b :])]
+    return out
+
+
+def _changes(base: list[str], other: list[str]) -> list[tuple[int, int, list[str]]]:
+    return [(i, j, other[k:m]) for op, i, j, k, m in difflib.SequenceMatcher(None, base, other, autojunk=False).get_opcodes() if op != "equal"]
 
 
 def three_way(base: str, left: str, right: str) -> str:
-    """Lines of two versions of a text merged; where both changed a line differently conflict marks stand."""
-    b, x, y = base.split("\n"), left.split("\n"), right.split("\n")
-    of = lambda v: {i1: (i2, v[j1:j2]) for t, i1, i2, j1, j2 in difflib.SequenceMatcher(None, b, v, autojunk=False).get_opcodes() if t != "equal"}
-    p, q, out, i = of(x), of(y), [], 0
-    while i <= len(b):
-        u, v = p.get(i), q.get(i)
-        if u and v and u != v:
-            out += ["<<<<<<<", *u[1], "=======", *v[1], ">>>>>>>"]
-            i = max(u[0], v[0], i + (u[0] == i and v[0] == i))
-            p.pop(i, None) if u[0] == i and u[0] == 0 else None
-            continue
-        w = u or v
-        if w:
-            out += w[1]
-            if w[0] > i:
-                i = w[0]
-                continue
-        if i < len(b):
-            out.append(b[i])
-        i += 1
-    return "\n".join(out)
+    """Lines of two versions of a text merged.
+
+    Changes of the two sides that overlap, or begin at the same line, form one region; if both sides made the
+    same of it, or only one changed it, that stands, else both stand between conflict marks. No line of either side is lost.
+    """
+    b = base.split("\n")
+    sides = [_changes(b, left.split("\n")), _changes(b, right.split("\n"))]
+    todo = sorted((i, j, side, k) for side, own in enumerate(sides) for k, (i, j, _) in enumerate(own))
+    out: list[str] = []
+    at = n = 0
+    while n < len(todo):
+        lo, hi = todo[n][:2]
+        own: list[list] = [[], []]
+        while n < len(todo) and (todo[n][0] < hi or todo[n][0] == lo):
+            i, j, side, k = todo[n]
+            own[side].append(sides[side][k])
+            hi = max(hi, j)
+            n += 1
+        out += b[at:lo]
+        made = []
+        for mine in own:
+            text, pos = [], lo
+            for i, j, lines in mine:
+                text += b[pos:i] + lines
+                pos = j
+            made.append(text + b[pos:hi])
+        if not own[0] or not own[1] or made[0] == made[1]:
+            out += made[0] if own[0] else made[1]
+        else:
+            out += ["<<<<<<<", *made[0], "=======", *made[1], ">>>>>>>"]
+        at = hi
+    return "\n".join(out + b[at:])
+
+
+def per_document(rows: DataFrame, key: str, order: str, columns: list[str], run, out: str) -> DataFrame:
+    """``run(list of rows)`` of each document, rows in order; what it returns are rows of ``out``."""
+    names = [c.split(" ")[0] for c in out.split(", ")]
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        got = run(list(zip(*[pdf[c] for c in columns])))
+        return pd.DataFrame([(pdf[key].iloc[0], *r) for r in got], columns=names)
+
+    return rows.select(key, order, *[c for c in columns if c != order]).groupBy(key).applyInPandas(one, out)
 
 
 def best_line(points: DataFrame, keys: list[str], x: str, y: str, slack: float = 1.0) -> DataFrame:

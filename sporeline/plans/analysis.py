@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sporeline.functions.text import canonical_label
 from sporeline.operators import search as V
 from sporeline.operators import triage as T
 from sporeline.plans.lines import _lines

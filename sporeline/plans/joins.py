@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sporeline.functions.text import canonical_label, content_id
+from sporeline.functions.text import content_id
 from sporeline.operators import labels as L
 from sporeline.operators import spans as S
 from sporeline.plans.lines import _CLEAN, _PRED, _RUNS, _doc_lines, _lines

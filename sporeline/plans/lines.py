@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sporeline.functions.text import count_of, lines_of, strip, suffixes, words_of
+from sporeline.functions.text import count_of, lines_of, strip, suffixes
 from sporeline.operators import labels as L
-from sporeline.operators.islands import islands, running
 from sporeline.sources.tables import table
 
 
@@ -15,11 +14,27 @@ def _lines(spark, d):
     return L.clean_lines(table(spark, d, "yedda_lines"))
 
 
+def _offsets(batches):
+    """Lines with their offsets, in one pass over each text: prefix sums before rows leave their partition, so nothing is shuffled."""
+    import itertools
+
+    import pyarrow as pa
+
+    for batch in batches:
+        ids, numbers, lines, starts = [], [], [], []
+        for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            if text is not None:
+                own = text.split("\n")
+                ids += [i] * len(own)
+                numbers += range(len(own))
+                lines += own
+                starts += list(itertools.accumulate((len(x) + 1 for x in own[:-1]), initial=0))
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(lines, pa.string()), pa.array(starts, pa.int64())], names=["doc_id", "line_number", "line", "line_start"])
+
+
 def _doc_lines(spark, d):
     """Lines of documents with their offsets, numbered from 0."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    rows = docs.select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("line_number", "line"))
-    return rows.withColumn("line_start", F.coalesce(running(F.char_length("line") + 1, ["doc_id"], ["line_number"], -1), F.lit(0)))
+    return table(spark, d, "documents").select("doc_id", "text").mapInArrow(_offsets, "doc_id long, line_number int, line string, line_start long")
 
 
 def line_offsets(spark, d):
@@ -27,13 +42,16 @@ def line_offsets(spark, d):
 
 
 def line_features(spark, d):
-    w = Window.partitionBy("doc_id").orderBy("line_number")
-    blank = strip(F.col("line")) == ""
-    s = F.col("line")
-    rows = _doc_lines(spark, d).withColumn("blank", blank)
+    """Shape of each line and whether the lines around it are blank, taken from the array of lines before it is exploded."""
+    docs = table(spark, d, "documents").select("doc_id", lines_of(F.col("text")).alias("l")).withColumn("b", F.transform("l", lambda x: strip(x) == ""))
+    n = F.size("l")
+    before = F.concat(F.array(F.lit(True)), F.slice("b", F.lit(1), F.greatest(n - 1, F.lit(0))))
+    after = F.concat(F.slice("b", F.lit(2), n), F.array(F.lit(True)))
+    rows = docs.select("doc_id", F.posexplode(F.arrays_zip(F.col("l").alias("l"), before.alias("p"), after.alias("a"))).alias("line_number", "z"))
+    s = F.col("z.l")
     return rows.select(
         "doc_id", "line_number", F.char_length(s).alias("length"), (F.char_length(s) - F.char_length(F.ltrim(s))).alias("indent"), count_of(s, "[A-Z]").alias("capitals"), count_of(s, "[0-9]").alias("digits"),
-        s.rlike("[0-9]$").alias("trailing_digit"), (F.char_length(strip(s)) < 30).alias("short"), F.coalesce(F.lag("blank").over(w), F.lit(True)).alias("after_blank"), F.coalesce(F.lead("blank").over(w), F.lit(True)).alias("before_blank"),
+        s.rlike("[0-9]$").alias("trailing_digit"), (F.char_length(strip(s)) < 30).alias("short"), F.col("z.p").alias("after_blank"), F.col("z.a").alias("before_blank"),
     )
 
 
@@ -63,7 +81,9 @@ def yedda_roundtrip(spark, d):
 
 
 def treatments_group(spark, d):
-    return L.treatments(_lines(spark, d))
+    """Treatments from paragraphs: runs of one label between blank lines, page lines left out."""
+    blocks = L.coalesce_blocks(_lines(spark, d), blank_breaks=True).withColumnsRenamed({"first_line": "line_number", "text": "line"})
+    return L.treatments(blocks.filter(~F.col("line").rlike(r"^\s*[0-9]*\s*$")))
 
 
 def label_stats(spark, d):
@@ -174,7 +194,8 @@ from documents d left join (select * from l where trim(line, {_BLANKS}) <> '') x
     "yedda_roundtrip": f"""with {_CLEAN}, keyed as (select doc_id, line_number, label, trim(line, {_BLANKS}) line, label k from clean where label is not null and trim(coalesce(line, '')) <> '' and not regexp_matches(line, '[#\\[\\]*]')), {_RUNS},
 n as (select *, row_number() over (partition by doc_id order by first_line) - 1 as block_no from blocks), s as (select doc_id, block_no, label, string_split(text, chr(10)) s from n)
 select doc_id, block_no, label, generate_subscripts(s, 1) - 1 as line_in_block, unnest(s) as line from s""",
-    "treatments_group": f"""with {_CLEAN}, seen as (select *, case when label = 'nomenclature' then 'N' when label in ({", ".join(f"'{x}'" for x in L.SECTION_LABELS)}) then 'S' when label = 'misc-exposition' then 'M' end kind from clean),
+    "treatments_group": f"""with {_CLEAN}, keyed as (select *, case when trim(coalesce(line, '')) = '' then chr(1) else coalesce(label, '') end k from clean), {_RUNS},
+paragraphs as (select doc_id, first_line as line_number, label, text as line from blocks where not regexp_matches(text, '^\\s*[0-9]*\\s*$')), seen as (select *, case when label = 'nomenclature' then 'N' when label in ({", ".join(f"'{x}'" for x in L.SECTION_LABELS)}) then 'S' when label = 'misc-exposition' then 'M' end kind from paragraphs),
 c as (select *, sum(case when kind = 'M' then 1 else 0 end) over (partition by doc_id order by line_number) m from seen where kind is not null),
 g as (select *, case when lag(kind) over w is null or m - lag(m) over w > 4 or (kind = 'N' and lag(kind) over w = 'S') then 1 else 0 end st from c where kind <> 'M' window w as (partition by doc_id order by line_number)),
 t as (select *, sum(st) over (partition by doc_id order by line_number) treatment_no from g),

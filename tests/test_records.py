@@ -21,6 +21,7 @@ def test_greedy_groups(spark):
 def test_balanced_json():
     assert R.balanced_json('so: {"a": "}{", "b": {"c": 1}} end') == '{"a": "}{", "b": {"c": 1}}'
     assert R.balanced_json("{broken") is None and R.balanced_json(None) is None
+    assert R.balanced_json('{no {"a": [1, 2]} {"b": 1}') == '{"a": [1, 2]}' and R.balanced_json("{" * 5000) is None
 
 
 def test_deep_merge():
@@ -32,10 +33,36 @@ def test_nested_labels():
     assert R.nested_labels("[@one\n[@two#Key*]\nthree#Notes*]\nfour") == [("one", "Notes"), ("two", "Key"), ("three", "Notes"), ("four", None)]
 
 
-def test_alignment_and_merge():
-    assert R.align_blocks([("a", "K"), ("b", "N")], ["a", "x", "b"]) == ["K", None, "N"]
+def test_alignment_keeps_old_blocks():
+    assert R.align_blocks([("a", "K"), ("b", "N"), ("c", "X")], [("a", "D"), ("x", "E"), ("c", "F")]) == [("a", "D"), ("b", "N"), ("c", "F")]
+    assert R.align_blocks([], [("a", "K")]) == []
+
+
+def test_three_way():
+    j = "\n".join
     assert R.three_way("a\nb\nc", "a\nB\nc", "a\nb\nc\nd") == "a\nB\nc\nd"
-    assert "<<<<<<<" in R.three_way("a", "b", "c")
+    assert R.three_way("a", "b", "c") == j(["<<<<<<<", "b", "=======", "c", ">>>>>>>"])
+    assert R.three_way("a\nb", "z\na\nb", "w\na\nb") == j(["<<<<<<<", "z", "=======", "w", ">>>>>>>", "a", "b"])
+    assert R.three_way("a\nb\nc\nd", "a\nd", "a\nb\nC\nd") == j(["a", "<<<<<<<", "=======", "b", "C", ">>>>>>>", "d"])
+    assert "Q" in R.three_way("a\nb\nc\nd", "a\nP\nd", "a\nb\nQ\nd") and R.three_way("a", "a", "a") == "a"
+
+
+def test_three_way_loses_no_line():
+    import random
+
+    rng = random.Random(6)
+    for _ in range(400):
+        base = [str(rng.randrange(6)) for _ in range(rng.randrange(7))]
+        sides = []
+        for tag in "LR":
+            own = list(base)
+            for k in range(rng.randrange(4)):
+                at = rng.randrange(len(own) + 1)
+                own[at : at + rng.randrange(3)] = [f"{tag}{k}"] * rng.randrange(2)
+            sides.append(own)
+        got = R.three_way("\n".join(base), *map("\n".join, sides)).split("\n")
+        assert all(x in got for own in sides for x in own if x[:1] in ("L", "R"))
+        assert R.three_way("\n".join(base), "\n".join(base), "\n".join(sides[1])) == "\n".join(sides[1])
 
 
 def test_best_line(spark):
