@@ -84,7 +84,7 @@ def hash_to_min(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             discard(spark, least_path)
             break
         before = state[:2]
-        hot = hot_keys(least, "node", "n") if state[2] > 200_000 else []
+        hot = hot_keys(least, "node", "n") if state[2] > 200_000 else {}
         met = salted_join(clusters, least.select("node", "least"), "node", hot, F.col("member"))
         sent = met.select(F.explode(F.array(F.struct(F.col("least").alias("node"), F.col("member")), F.struct(F.col("member").alias("node"), F.col("least").alias("member")))).alias("e")).select("e.node", "e.member")
         after, after_path = materialize(sent.distinct(), "clusters")

@@ -213,7 +213,7 @@ def candidate_pairs(signed: DataFrame, threshold: float, hot: int = HOT, block:
 
     if not big:
         return streamed(rows).distinct()
-    is_big = F.col("key").isin(big)
+    is_big = F.col("key").isin(list(big))
     pairs = streamed(rows.filter(~is_big))
     # X buckets that are too large for one run: one key per table, so that each (i, j) goes its own way
     part = lambda j: F.substring("y", 2 * sh.rows * j + 1, 2 * sh.rows)
