@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("lines", "joins", "analysis", "streams", "records", "texts")
+MODULES = ("lines", "joins", "analysis", "streams", "records", "texts", "lookups")
 
 
 def queries() -> dict:

@@ -74,9 +74,9 @@ def char_metrics(spark, d):
 
 
 def scope_confidence(spark, d):
-    """Collection codes in paragraphs, surer in a section on distribution or description than elsewhere."""
-    s = table(spark, d, "sections").filter(F.col("value").rlike(r"\bKHB\b|Holotype"))
-    return s.select("section_id", F.when(F.lower("section_name").isin("description", "distribution and ecology"), 0.9).otherwise(0.6).alias("confidence"))
+    """Collectors and types named in lines, surer in a line labelled as material than elsewhere."""
+    y = _lines(spark, d).filter(F.col("line").rlike(r"Holotype|leg\.|coll\.|[A-Z]{2,5} [0-9]{3,}"))
+    return y.select("doc_id", "line_number", F.when(F.col("label") == "materials-examined", 0.9).otherwise(0.6).alias("confidence"))
 
 
 def block_chunks(spark, d):
@@ -215,7 +215,7 @@ SQL = {
     "valid_terms": r"select term, count(*) as n from (select unnest(regexp_split_to_array(lower(coalesce(biology, '')), '[\s,.;]+')) term from treatments) where term <> '' and length(term) <= 100 and regexp_matches(term, '[a-z]') and not regexp_matches(term, '^[\[{]') group by 1",
     "retry_skip": "select user_id from events where event_type = 'error' and ts is not null group by 1 having date_diff('second', max(ts), (select max(ts) from events)) < 259200",
     "char_metrics": f"with {_CLEAN}, p as (select label, {_PRED} pred, length(coalesce(line, '')) n from clean where label is not null), r as (select label as l, case when label = pred then 'tp' else 'fn' end r, n from p union all select pred, 'fp', n from p where label <> pred), a as (select l as label, coalesce(sum(n) filter (r = 'tp'), 0)::bigint as tp, coalesce(sum(n) filter (r = 'fp'), 0)::bigint as fp, coalesce(sum(n) filter (r = 'fn'), 0)::bigint as fn from r group by 1) select *, round(coalesce(tp / nullif(tp + fp + fn, 0), 0.0), 6) as overlap from a",
-    "scope_confidence": r"select section_id, case when lower(section_name) in ('description', 'distribution and ecology') then 0.9::double else 0.6::double end as confidence from sections where regexp_matches(value, '\bKHB\b|Holotype')",
+    "scope_confidence": f"with {_CLEAN} select doc_id, line_number, case when label = 'materials-examined' then 0.9::double else 0.6::double end as confidence from clean where regexp_matches(line, 'Holotype|leg\\.|coll\\.|[A-Z]{{2,5}} [0-9]{{3,}}')",
     "block_chunks": f"with {_CLEAN}, keyed as (select *, coalesce(label, '') k from clean), {_RUNS}, c as (select *, (row_number() over (partition by doc_id order by first_line) - 1) // 20 as chunk from blocks) select doc_id, chunk, count(*) as n_blocks, sum(length(text))::bigint as chars from c group by 1, 2",
     "key_prefixes": "select split_part(attachment_name, '.', 1) as prefix, count(distinct attachment_name) as n from sections where attachment_name is not null group by 1",
     "paged_scan": "select doc_id, source from documents order by doc_id limit 50 offset 100",
