@@ -311,7 +311,7 @@ def linked_names(rows: DataFrame) -> DataFrame:
 
     rec, _ = materialize(counted(counted(folded, "epithet"), "genus").select(F.col("rec").alias("id"), *key, "n_epithet", "n_genus", "n"), "records")
     two = rec.filter("epithet <> '' and genus <> ''")
-    bands, _ = materialize(two.select("id", "genus", "epithet", "authors").repartition("id").mapInPandas(_bander, "key long, id long"), "bands")
+    bands, _ = materialize(two.select("id", "genus", "epithet", "authors").repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id").mapInPandas(_bander, "key long, id long"), "bands")
     met = bands.join(bands.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"), "key").withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
     left = met.select("key", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.col("id").alias("a"))
     right = met.select("key", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.col("id").alias("b"))
