@@ -106,8 +106,8 @@ def mixture(items: DataFrame, targets: DataFrame, budget: float | None = None) -
     Without a budget the tokens of all documents of the listed sources are taken.
     """
     spark = items.sparkSession
-    rows, _ = _plan(items, targets, budget)
-    plan = spark.createDataFrame(rows, _PLAN)
+    rows, exponent = _plan(items, targets, budget)
+    plan = spark.createDataFrame([(*r, float(exponent)) for r in rows], f"{_PLAN}, exponent double")
     own = items.filter("n_tokens > 0").join(F.broadcast(plan.select("source", "source_tokens", "amount")), "source")
     own = own.withColumn("full", F.floor(F.try_divide("amount", "source_tokens") + 1e-9).cast("int")).withColumn("part", F.col("amount") - F.col("full") * F.col("source_tokens"))
     own = own.withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(BLOCKS)).cast("int"))
@@ -130,7 +130,7 @@ def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of each listed source: target, share reached, tokens, uses of a document at most, whether its repeats are used up, and the temperature share."""
+    """Of each listed source: target, share reached, tokens, uses of a document at most, whether its repeats are used up, and the temperature share and exponent."""
     items, _ = materialize(measured(table(spark, sf_dir, "documents")).select("doc_id", "source", "n_tokens"), "measured")
     mix, plan = mixture(items, table(spark, sf_dir, "mix_targets"))
     got = mix.groupBy("source").agg(F.sum("n_tokens").alias("mixed_tokens"), F.max("pass_no").alias("most_uses"))
@@ -138,5 +138,5 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = plan.join(got, "source", "left").join(F.broadcast(whole), F.lit(True), "left")
     return joined.select(
         "source", "target_share", F.round(F.coalesce(F.try_divide("mixed_tokens", "whole"), F.lit(0.0)), 6).alias("actual_share"), F.coalesce("mixed_tokens", F.lit(0)).alias("mixed_tokens"), "source_tokens",
-        F.coalesce("most_uses", F.lit(0)).alias("most_uses"), "max_repeats", (F.col("amount") >= F.col("max_repeats") * F.col("source_tokens") - 0.5).alias("at_limit"), F.round("temperature_share", 6).alias("temperature_share"),
+        F.coalesce("most_uses", F.lit(0)).alias("most_uses"), "max_repeats", (F.col("amount") >= F.col("max_repeats") * F.col("source_tokens") - 0.5).alias("at_limit"), F.round("temperature_share", 6).alias("temperature_share"), F.round("exponent", 6).alias("exponent"),
     )
