@@ -1,6 +1,7 @@
 """Noise in text from scanned pages (problem 4).
 
-Two averaged perceptrons are trained on bounded samples.
+Two averaged perceptrons are trained on the whole corpus: the tagger on counts of all lines by what its features
+depend on, the editor in blocks of all words.
 
 The *furniture* tagger decides of every line whether it is text, a running header or a page
 number, from its shape and its place: how many pages of the article have the line (look-alike letters
@@ -16,8 +17,8 @@ pairs, on common words with the misreadings put in, and on broken words whose wh
 hyphenated form the corpus knows, with and without that knowledge. What it proposes is taken only
 if the corpus bears it out: the proposed word is far more common than the one read.
 
-Nothing is bounded but the training samples and a filter: words are edited once per distinct
-word, in a table; candidates come from a join of all words on the fold of look-alikes; broken
+Nothing is bounded but a filter: words are counted whole before anything is learned from them,
+edited once per distinct word, in a table; candidates come from a join of all words on the fold of look-alikes; broken
 words meet their counts by joins. The workers get the furniture weights and the ``COMMON``
 commonest words that have no candidate; every other word of every row is looked up in the table of
 repairs by a join, so the filter changes the cost and never the result.
@@ -45,13 +46,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sporeline.llm.sampling import hashed_sample
 from sporeline.operators.skew import hot_keys, salted_join
 from sporeline.plans.storage import materialize
 from sporeline.sources.tables import table
 
-#: Bounds of the training samples (rows of the tagger, rows of the editor, common words, broken words), of the filter, and the size of a block.
-SAMPLE, WORD_SAMPLE, TRAIN_WORDS, BROKEN, COMMON, BLOCK = 8000, 20_000, 4000, 6000, 60_000, 256
+#: Bound of the filter, size of a block of paragraphs and, about, of a block of examples the editor is trained on; visits of the tagger to all lines together in an epoch.
+COMMON, BLOCK, EXAMPLES, VISITS = 60_000, 256, 10_000, 12_000
+#: A misread word is met at most once for so many times that the printed one is.
+RARE = 50
 #: A word is a misreading only of one so many times as common (the first for words met once or twice).
 FACTORS, LEAST_COUNT = (8, 12), 4
 #: Common misreadings, (read, printed); one showing of them in the corpus is enough, of others it takes many.
@@ -194,24 +196,39 @@ def _bare(words: Counter) -> dict[str, int]:
     return bare
 
 
-_SEEN = "word string, n long, section_id long, doc_id string, line_no int, line long, page int, offset int"
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of all values and how often they stand there."""
+    words: Counter = Counter()
+
+    def counted() -> pa.RecordBatch:
+        got = _bare(words)
+        return pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], names=["word", "n"])
+
+    for batch in batches:
+        for value in batch.column("value").to_pylist():
+            words.update(value.split())
+        if len(words) > 500_000:
+            yield counted()
+            words.clear()
+    yield counted()
+
+
+_SEEN = "n long, section_id long, doc_id string, line_no int, line long, page int, offset int"
 
 
 def _evidence(folding: Folding):
-    """Counts of words, keys of lines and page offsets, as rows of which the other columns are null."""
-    kinds = {"word": pa.string(), "n": pa.int64(), "section_id": pa.int64(), "doc_id": pa.string(), "line_no": pa.int32(), "line": pa.int64(), "page": pa.int32(), "offset": pa.int32()}
+    """Keys of lines and page offsets, as rows of which the other columns are null."""
+    kinds = {"n": pa.int64(), "section_id": pa.int64(), "doc_id": pa.string(), "line_no": pa.int32(), "line": pa.int64(), "page": pa.int32(), "offset": pa.int32()}
 
     def frame(**given) -> pa.RecordBatch:
         n = len(next(iter(given.values())))
         return pa.RecordBatch.from_arrays([pa.array(given[c], t) if c in given else pa.nulls(n, t) for c, t in kinds.items()], names=list(kinds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             ids, nos, keys, pages, docs, offs, weight = [], [], [], [], [], [], []
             for i, doc, value, page, printed in zip(*[batch.column(c).to_pylist() for c in ("section_id", "doc_id", "value", "pdf_page", "empirical_page_number")]):
-                words.update(value.split())
                 if doc is None:
                     continue
                 seed = digest(doc)
@@ -230,19 +247,39 @@ def _evidence(folding: Folding):
                 yield frame(section_id=ids, line_no=nos, line=keys, page=pages)
             if docs:
                 yield frame(doc_id=docs, offset=offs, n=weight)
-            if len(words) > 500_000:
-                got = _bare(words)
-                yield frame(word=list(got), n=list(got.values()))
-                words = Counter()
-        if words:
-            got = _bare(words)
-            yield frame(word=list(got), n=list(got.values()))
 
     return run
 
 
+def _same_sign(r: str, p: str) -> bool:
+    """Whether the two are spellings of one sign, or what was read is no plain sign."""
+    return unicodedata.normalize("NFKC", r) != r or r == unicodedata.normalize("NFKC", p)
+
+
+def _odd_sign(r: str, p: str) -> bool:
+    """Whether a sign that is no plain letter was printed where plain ones were read."""
+    return len(p) == 1 and r.isascii() and not p.isascii() and unicodedata.normalize("NFKD", p)[0] != r
+
+
+def choose_misreadings(words: Counter, inner: Counter, met: Counter, signs: Counter) -> list[tuple[str, str]]:
+    """Misreadings ``(read, printed)``, the best borne out first.
+
+    Given are, of every pair, the number of words that show it, of those that show it within, the times these words
+    are met, and the times that short words show it.
+    """
+    by_count = lambda c: sorted(c.items(), key=lambda x: (-x[1], x[0]))
+    least = max(3, 0.02 * max(words.values(), default=0))
+    good = [rp for rp, n in by_count(words) if rp in LIKELY or n >= least and inner[rp] >= max(2, 0.3 * n)]
+    # what is read long for one letter may be read short elsewhere
+    good += [(p, r) for r, p in good if len(r) > len(p) and met[p, r] >= 3 and (p, r) not in good]
+    # such a sign is taken for misread when it is read in two ways that look alike
+    fold = Folding(good).fold
+    alike = Counter((fold(r), p) for (r, p), n in signs.items() if n >= 5)
+    return good + [(r, p) for (r, p), n in by_count(signs) if n >= 5 and alike[fold(r), p] >= 2 and (r, p) not in good]
+
+
 def learn_misreadings(common: dict[str, int], other: dict[str, int]) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
-    """Misreadings ``(read, printed)``, the best borne out first, and the pairs of words that show them."""
+    """Misreadings ``(read, printed)`` and the pairs of words that show them, of words in memory; of a table see ``learned``."""
     places = defaultdict(list)
     for w, n in common.items():
         if len(w) >= 5 or not w.isascii():
@@ -256,11 +293,11 @@ def learn_misreadings(common: dict[str, int], other: dict[str, int]) -> tuple[li
             for i in range(len(w) - k + 1):
                 for p, m, whole in places.get((w[:i], w[i + k :]), ()):
                     r = w[i : i + k]
-                    if m < 50 * n or p[0] == r[0] or p[-1] == r[-1] or len(p) + len(r) > 3 or not (r + p).isalnum() or unicodedata.normalize("NFKC", r) != r or unicodedata.normalize("NFKC", r) == unicodedata.normalize("NFKC", p):
+                    if m < RARE * n or p[0] == r[0] or p[-1] == r[-1] or len(p) + len(r) > 3 or not (r + p).isalnum() or _same_sign(r, p):
                         continue
                     if len(whole) >= 5:
                         seen[r, p] = (len(w) - i - k >= 2, whole)
-                    elif len(p) == 1 and len(w) > len(r) and r.isascii() and not p.isascii() and unicodedata.normalize("NFKD", p)[0] != r:
+                    elif len(w) > len(r) and _odd_sign(r, p):
                         signs[r, p] += n  # a sign scanners do not know, in a short word
                         shown[r, p].append((w, whole))
         for rp, (inside, whole) in seen.items():
@@ -268,15 +305,58 @@ def learn_misreadings(common: dict[str, int], other: dict[str, int]) -> tuple[li
             met[rp] += n
             inner[rp] += inside
             shown[rp].append((w, whole))
-    least = max(3, 0.02 * max(words.values(), default=0))
-    good = [rp for rp, n in words.most_common() if rp in LIKELY or n >= least and inner[rp] >= max(2, 0.3 * n)]
-    # what is read long for one letter may be read short elsewhere
-    good += [(p, r) for r, p in good if len(r) > len(p) and met[p, r] >= 3 and (p, r) not in good]
-    # such a sign is taken for misread when it is read in two ways that look alike
-    fold = Folding(good).fold
-    alike = Counter((fold(r), p) for (r, p), n in signs.items() if n >= 5)
-    good += [(r, p) for (r, p), n in signs.most_common() if n >= 5 and alike[fold(r), p] >= 2 and (r, p) not in good]
-    return good, [pair for rp in good for pair in shown[rp][:200]]
+    good = choose_misreadings(words, inner, met, signs)
+    return good, [pair for rp in good for pair in shown[rp]]
+
+
+def _cuts(words: DataFrame, taken: str) -> DataFrame:
+    """Every word with one or two of its letters taken out: ``around`` is what is left, ``at`` the place."""
+    out = None
+    for k in (1, 2):
+        at = F.explode(F.sequence(F.lit(1), F.length("word") - k + 1)).alias("at")
+        cut = words.filter(F.length("word") >= k).select("word", "n", at)
+        part = cut.select("word", "n", "at", F.expr(f"substr(word, at, {k})").alias(taken), F.expr(f"concat(substr(word, 1, at - 1), '\x01', substr(word, at + {k}))").alias("around"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _plain_signs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        ok, odd = [], []
+        for r, p in zip(pdf["read"], pdf["printed"]):
+            ok.append((r + p).isalnum() and not _same_sign(r, p))
+            odd.append(_odd_sign(r, p))
+        yield pdf.assign(signs=pdf["signs"].where(odd, 0))[np.array(ok, bool)]
+
+
+def learned(words: DataFrame) -> tuple[list[tuple[str, str]], DataFrame]:
+    """Misreadings of all ``words(word, n)`` of the corpus and ``(word, whole)``, the pairs that show them.
+
+    A printed word is met ``RARE`` times or more, or no word is rare beside it; a misread one is at most a letter longer
+    than the longest of them. Letters read for letters reach the driver: pairs of an alphabet, if three words show them.
+    """
+    common = words.filter((F.col("n") >= RARE) & ~F.col("word").contains("-") & ((F.length("word") >= 5) | F.col("word").rlike(r"[^\x00-\x7f]")))
+    longest = common.agg(F.max(F.length("word"))).first()[0] or 0
+    whole = _cuts(common, "printed").select("around", "printed", F.col("word").alias("whole"), F.col("n").alias("m"))
+    met = _cuts(words.filter(F.length("word") <= longest + 1), "read").join(whole, "around").filter(F.expr(f"m >= {RARE} * n and length(read) + length(printed) <= 3 and left(read, 1) <> left(printed, 1) and right(read, 1) <> right(printed, 1)"))
+    long = F.length("whole") >= 5
+    met = met.filter(long | (F.length("word") > F.length("read"))).groupBy("word", "read", "printed", long.alias("long"), F.when(~long, F.col("at")).alias("place"), F.when(~long, F.col("whole")).alias("short"))
+    met = met.agg(F.max("n").alias("n"), F.max_by("whole", "at").alias("whole"), (F.length("word") - F.max("at") - F.length("read") + 1 >= 2).alias("inside"))
+    met, _ = materialize(met.select("word", "read", "printed", "long", "n", "whole", "inside"), "aligned")
+    of = lambda c: F.sum(F.when(F.col("long"), c).otherwise(0))
+    stats = met.groupBy("read", "printed").agg(of(F.lit(1)).alias("words"), of(F.col("inside").cast("long")).alias("inner"), of(F.col("n")).alias("met"), F.sum(F.when(~F.col("long"), F.col("n")).otherwise(0)).alias("signs"))
+    stats = stats.mapInPandas(_plain_signs, "read string, printed string, words long, inner long, met long, signs long")
+    likely = F.concat_ws(" ", "read", "printed").isin([f"{r} {p}" for r, p in LIKELY])
+    count: dict[str, Counter] = {c: Counter() for c in ("words", "inner", "met", "signs")}
+    for x in stats.filter((F.col("words") >= 3) | (F.col("met") >= 3) | (F.col("signs") >= 5) | likely).collect():
+        for c, v in count.items():
+            if x[c]:
+                v[x["read"], x["printed"]] = x[c]
+    good = choose_misreadings(**count)
+    chosen = words.sparkSession.createDataFrame(good, "read string, printed string")
+    odd = words.sparkSession.createDataFrame([rp for rp in good if _odd_sign(*rp)], "read string, printed string")
+    pairs = met.filter("long").join(F.broadcast(chosen), ["read", "printed"]).unionByName(met.filter("not long").join(F.broadcast(odd), ["read", "printed"]))
+    return good, pairs.select("word", "whole").distinct()
 
 
 class Perceptron:
@@ -292,8 +372,10 @@ class Perceptron:
         s = [sum(c) for c in zip(*own)]
         return s.index(max(s)) if s else 0
 
-    def fit(self, rows: list[tuple[list[str], int]], epochs: int = 4, seed: int = 3) -> None:
+    def fit(self, rows: list[tuple[list[str], int]], epochs: int = 4, seed: int = 3, steps: list[float] | None = None) -> None:
+        """``steps`` are the sizes of the corrections by the rows, 1 by default."""
         rng = np.random.default_rng(seed)
+        step = np.ones(len(rows)) if steps is None else np.array(steps)
         number: dict[str, int] = {}
         ids = [np.array([number.setdefault(f, len(number)) for f in feats]) for feats, _ in rows]
         w, total = np.zeros((len(number), len(self.classes))), np.zeros((len(number), len(self.classes)))
@@ -303,10 +385,10 @@ class Perceptron:
                 own, y = ids[i], rows[i][1]
                 h = int(w[own].sum(0).argmax())
                 if h != y:
-                    w[own, y] += 1
-                    w[own, h] -= 1
-                    total[own, y] += t
-                    total[own, h] -= t
+                    w[own, y] += step[i]
+                    w[own, h] -= step[i]
+                    total[own, y] += t * step[i]
+                    total[own, h] -= t * step[i]
                 t += 1
         w -= total / t
         self.lists = {f: w[k].tolist() for f, k in number.items() if w[k].any()}
@@ -350,6 +432,40 @@ def line_features(shape: tuple, pages: int, gap: str, first: bool, last: bool, a
     ]
 
 
+_STOPS = (*sorted(_ENDS), ")", "o")
+_GAPS = ("-", "?", "=", "x")
+#: Marks of a line that teaches nothing.
+UNTAUGHT = 3
+
+
+def place_code(shape: tuple, pages: int, gap: str, first: bool, last: bool, alone: bool, heading: bool) -> int:
+    """A number for all that the features of a line depend on."""
+    code = 0
+    for bit in (*shape[:4], *shape[5:10], first, last, alone, heading):
+        code = 2 * code + bool(bit)
+    return ((code * 8 + _STOPS.index(shape[4])) * 7 + shape[10]) * 16 + min(pages, 3) * 4 + _GAPS.index(gap)
+
+
+def place_of(code: int) -> tuple:
+    """What :func:`place_code` was given."""
+    code, low = divmod(code, 16)
+    code, length = divmod(code, 7)
+    code, end = divmod(code, 8)
+    bits = [bool(code >> k & 1) for k in range(12, -1, -1)]
+    return (*bits[:4], _STOPS[end], *bits[4:9], length), low // 4, _GAPS[low % 4], *bits[9:]
+
+
+def taught(line: str, shape: tuple, pages: int, gap: str, alone: bool, heading: bool) -> int:
+    """What a line teaches: lines on three or more pages are headers, numbers that fit the page are page numbers."""
+    if gap != "-":
+        return 2 if gap == "=" or (gap == "?" and not re.search(r"[.)]$", line)) else 0
+    header = not heading and (pages >= 2 or alone) and _is_header_like(line)
+    if header and pages >= 3:
+        return 1
+    # may be the only header of a short article: not used for training
+    return UNTAUGHT if header and (alone or pages == 2) and (shape[3] or shape[2]) else 0
+
+
 def _gap(line: str, page: float, offset: float) -> str:
     """How the number of a line agrees with the page."""
     n = line_number(line)
@@ -591,10 +707,11 @@ class Reader:
         self.furniture, self.folding, self.common = furniture, folding, common
         self.quiet = quiet_lines(furniture)
         self._classes: dict[tuple, int] = {}
+        self._places: dict[int, int] = {}
         self._asked = _Asked(common)
 
     def __getstate__(self):
-        return self.__dict__ | {"_classes": {}, "_asked": _Asked(self.common)}
+        return self.__dict__ | {"_classes": {}, "_places": {}, "_asked": _Asked(self.common)}
 
     def line_class(self, s: str, pages: int, page: float, offset: float, first: bool, last: bool, alone: bool, section: str | None) -> int:
         """0 text, 1 running header, 2 page number."""
@@ -608,13 +725,22 @@ class Reader:
             k = self._classes[place] = self.furniture.best(line_features(*place))
         return 0 if k and (k == 2) != shape[0] else k
 
-    def read(self, value: str, pages: dict[int, int], page: float, offset: float, first: bool, last: bool, section: str | None) -> dict:
+    def place_class(self, code: int) -> int:
+        """The same of a line whose place is numbered."""
+        k = self._places.get(code)
+        if k is None:
+            place = place_of(code)
+            k = self.furniture.best(line_features(*place))
+            k = self._places[code] = 0 if k and (k == 2) != place[0][0] else k
+        return k
+
+    def read(self, value: str, places: list[int], section: str | None) -> dict:
         """Furniture, words to look up and broken words of one value, and what joining paragraphs needs to know of it."""
-        lines = [(n, t) for n, s in enumerate(value.split("\n")) if (t := s.strip())]
+        lines = [t for s in value.split("\n") if (t := s.strip())]
         section = self.folding.fold(section) if section else None
         kinds, kept = 0, []
-        for k, (n, s) in enumerate(lines):
-            c = self.line_class(s, pages.get(n, 0), page, offset, first and k == 0, last and k + 1 == len(lines), len(lines) == 1, section)
+        for s, code in zip(lines, places):
+            c = self.place_class(code)
             if c:
                 kinds |= c
             else:
@@ -720,43 +846,118 @@ def _pages(h: str | None) -> dict[int, int]:
     return {int(n): int(p) for n, p in (x.split(":") for x in h.split(" "))} if h else {}
 
 
-def fit_furniture(joined: DataFrame, folding: Folding) -> Perceptron:
-    """The tagger, from a bounded sample of rows: lines on three or more pages are headers, numbers that fit the page are page numbers."""
-    train: list[tuple[list[str], int]] = []
+def _numbered(folding: Folding, schema: list[str]):
+    """Rows with ``places`` of their lines that are not blank: what the features depend on, times 4, plus what the line teaches."""
     nan = float("nan")
-    for r in hashed_sample(joined.filter("section_id is not null"), "section_id", SAMPLE):
-        known = _pages(r["pages"])
-        page = nan if r["pdf_page"] is None else r["pdf_page"]
-        offset = _offset(nan if r["empirical_page_number"] is None else r["empirical_page_number"], page, nan if r["offset"] is None else r["offset"])
-        lines = [(n, t) for n, s in enumerate(r["value"].split("\n")) if (t := s.strip())]
-        for k, (n, t) in enumerate(lines):
-            first, last, alone = bool(r["first"]) and k == 0, bool(r["last"]) and k + 1 == len(lines), len(lines) == 1
-            heading = bool(r["section_name"]) and folding.fold(t) == folding.fold(r["section_name"])
-            pages, gap, shape = known.get(n, 0), _gap(t, page, offset), line_shape(t)
-            if gap != "-":
-                y = 2 if gap == "=" or (gap == "?" and not re.search(r"[.)]$", t)) else 0
-            else:
-                y = 1 if pages >= 3 and not heading and _is_header_like(t) else 0
-                if y == 0 and _is_header_like(t) and not heading and (alone or pages == 2) and (shape[3] or shape[2]):
-                    continue  # may be the only header of a short article: not used for training
-            train.append((line_features(shape, pages, gap, first, last, alone, heading), y))
-            if y == 1:
-                train.append((line_features(shape, 0, gap, first, last, alone, heading), y))  # the same header in an article of one page
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes: dict[tuple, int] = {}
+        folded = _Folded(folding)
+        for batch in batches:
+            every = []
+            for value, page, printed, section, h, off, first, last in zip(*[batch.column(c).to_pylist() for c in ("value", "pdf_page", "empirical_page_number", "section_name", "pages", "offset", "first", "last")]):
+                page, printed, off = (nan if x is None else x for x in (page, printed, off))
+                offset = _offset(printed, page, off)
+                known, section = _pages(h), folded[section] if section else None
+                lines = [(n, t) for n, s in enumerate(value.split("\n")) if (t := s.strip())]
+                end, alone, out = len(lines) - 1, len(lines) == 1, []
+                for k, (n, t) in enumerate(lines):
+                    shape = line_shape(t)
+                    gap = _gap(t, page, offset) if shape[0] else "-"
+                    pages = known.get(n, 0)
+                    heading = section is not None and len(t) <= len(section) and folding.fold(t) == section  # folding shortens no line
+                    place = (shape, min(pages, 3), gap, first is True and k == 0, last is True and k == end, alone, heading)
+                    code = codes.get(place)
+                    if code is None:
+                        code = codes[place] = 4 * place_code(*place)
+                    out.append(code + (taught(t, shape, pages, gap, alone, heading) if gap != "-" or alone or pages >= 2 else 0))
+                every.append(out)
+            cols = {c: batch.column(c) for c in batch.schema.names} | {"places": pa.array(every, pa.list_(pa.int32()))}
+            yield pa.RecordBatch.from_arrays([cols[c] for c in schema], names=list(schema))
+
+    return run
+
+
+class _Folded(dict):
+    """Folded names of sections."""
+
+    def __init__(self, folding: Folding):
+        self.folding = folding
+
+    def __missing__(self, name: str) -> str:
+        if len(self) > 100_000:
+            self.clear()
+        v = self[name] = self.folding.fold(name)
+        return v
+
+
+def fit_furniture(placed: DataFrame) -> Perceptron:
+    """The tagger, from all lines, counted by their place and what they teach: as many rows as there are kinds of places.
+
+    In an epoch the places are visited about ``VISITS`` times in all, each in proportion to its lines but once at least.
+    Where one place teaches different things, the corrections keep the proportion of their lines.
+    """
+    counted = placed.select(F.explode("places").alias("place")).groupBy("place").agg(F.count("*").alias("n")).collect()
+    met: Counter = Counter()
+    for code, n in counted:
+        place, y = divmod(code, 4)
+        if y != UNTAUGHT:
+            met[place, y] += n
+            if y == 1:  # the same header in an article of one page
+                shape, _, *rest = place_of(place)
+                met[place_code(shape, 0, *rest), y] += n
+    train, steps, every = [], [], sum(met.values())
+    most: Counter = Counter()
+    for (place, _), n in met.items():
+        most[place] = max(most[place], n)
+    for (place, y), n in sorted(met.items()):
+        share = VISITS * n / min(every, VISITS * most[place])  # of a rare place, that of the rarer lesson to the commoner
+        times = max(1, round(share))
+        train += [(line_features(*place_of(place)), y)] * times
+        steps += [share / times] * times
     net = Perceptron(["text", "header", "number"])
-    net.fit(train, 5)
+    net.fit(train, 5, steps=steps)
     return net
 
 
-def train_editor(words: DataFrame, counted: DataFrame, misreadings: list, pairs: list) -> Editor:
-    """The editor, from bounded samples of common words and of broken words that the corpus knows in one form."""
+def train_editor(words: DataFrame, mates: DataFrame, counted: DataFrame, misreadings: list, pairs: DataFrame) -> Editor:
+    """The editor, from all common words without a far commoner look-alike, all misread words and all broken words that the corpus knows in one form.
+
+    The examples are put in blocks of about ``EXAMPLES`` by their hash. An editor is trained on each, and a weight is
+    its mean over the editors that met its feature.
+    """
+    clean = words.filter((F.col("n") >= 8) & (F.length("word") >= 2) & ~F.col("word").rlike(r"\d")).join(mates.select("word"), "word", "left_anti")
+    cols = {"kind": F.lit(0), "a": F.lit(""), "m": F.lit(""), "b": F.lit(""), "n": F.lit(0).cast("long"), "own": F.lit(0).cast("long"), "last": F.lit(0).cast("long"), "first": F.lit(0).cast("long")}
+    rows = lambda df, **given: df.select(*[(given[c] if c in given else v).alias(c) for c, v in cols.items()])
+    c = F.col
+    examples = rows(clean, kind=F.lit(1), a=c("word"), n=c("n")).unionByName(rows(pairs, kind=F.lit(2), a=c("word"), b=c("whole")))
+    examples = examples.unionByName(rows(counted.filter("whole <> own"), kind=F.lit(3), a=c("left"), m=c("mark"), b=c("right"), n=c("whole"), own=c("own"), last=c("last"), first=c("first")))
+    examples, _ = materialize(examples, "examples")
+    blocks = 1 + examples.count() // EXAMPLES
+    numbers = rows(examples.sparkSession.range(blocks), n=c("id")).withColumn("block", c("n").cast("int"))  # every block learns numbers
+    blocked = examples.withColumn("block", F.pmod(F.xxhash64("kind", "a", "m", "b"), F.lit(blocks)).cast("int")).unionByName(numbers)
     editor = Editor(misreadings)
-    common = [r["word"] for r in words.filter((F.col("n") >= 8) & (F.length("word") >= 2) & ~F.col("word").rlike(r"\d")).orderBy(F.desc("n"), "word").limit(TRAIN_WORDS).collect()]
-    sure = counted.filter("whole <> own").withColumn("id", F.xxhash64("left", "mark", "right"))
-    some = lambda cond: hashed_sample(sure.filter(cond), "id", BROKEN // 2)
-    breaks = [(Break((r["left"], r["mark"], r["right"], (r["whole"], r["own"], r["last"], r["first"], False, False))), r["whole"] > r["own"]) for r in [*some("whole > own"), *some("own > whole")]]
-    # a break whose forms the corpus does not know but for a misreading of one
-    odd = [(Break((b[0], b[1], b[2], (0, 0, *b[3][2:4], y, not y))), y) for b, y in breaks[::7]]
-    editor.train(common, pairs, breaks + odd)
+
+    def train(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = Editor(misreadings)
+        pdf = pdf.sort_values(["kind", "n", "a", "m", "b"], ascending=[True, False, True, True, True])
+        of = {k: g for k, g in pdf.groupby("kind")}
+        common = of[1]["a"].tolist() if 1 in of else []
+        shown = list(zip(of[2]["a"], of[2]["b"])) if 2 in of else []
+        breaks = []
+        if 3 in of:
+            g = of[3]
+            for a, m, b, whole, kept, last, first in zip(*[g[x].tolist() for x in ("a", "m", "b", "n", "own", "last", "first")]):
+                y = whole > kept
+                breaks.append((Break((a, m, b, (whole, kept, last, first, False, False))), y))
+                if xxhash.xxh3_64_intdigest(f"{a}{m}{b}") % 7 == 0:  # a break whose forms the corpus does not know but for a misreading of one
+                    breaks.append((Break((a, m, b, (0, 0, last, first, y, not y))), y))
+        own.train(common, shown, breaks)
+        return pd.DataFrame({"feature": list(own.net.lists), "weights": list(own.net.lists.values())})
+
+    trained = blocked.groupBy("block").applyInPandas(train, "feature string, weights array<double>")
+    mean = F.array(*[F.avg(F.col("weights")[k]) for k in range(len(editor.net.classes))]).alias("weights")
+    editor.net.lists = {r["feature"]: list(r["weights"]) for r in trained.groupBy("feature").agg(mean).collect()}
     return editor
 
 
@@ -766,16 +967,14 @@ _READ = "section_id long, doc_id string, paragraph_number int, kinds int, cls st
 def _reading(kept, texts: bool):
     words = pa.list_(pa.string())
     kinds = {"section_id": pa.int64(), "doc_id": pa.string(), "paragraph_number": pa.int32(), "kinds": pa.int32(), "cls": pa.string(), "open": pa.bool_(), "weak": pa.bool_(), "head": pa.string(), "tail": pa.string(), "mark": pa.string(), "asked": words, "breaks": words, "kept": pa.string()}
-    nan = float("nan")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader: Reader = kept.value
         for batch in batches:
             rows = []
-            for i, doc, para, value, page, printed, section, h, off, first, last in zip(*[batch.column(c).to_pylist() for c in ("section_id", "doc_id", "paragraph_number", "value", "pdf_page", "empirical_page_number", "section_name", "pages", "offset", "first", "last")]):
-                if value.strip():
-                    page, printed, off = (nan if x is None else x for x in (page, printed, off))
-                    g = reader.read(value, _pages(h), page, _offset(printed, page, off), first is True, last is True, section)
+            for i, doc, para, value, section, places in zip(*[batch.column(c).to_pylist() for c in ("section_id", "doc_id", "paragraph_number", "value", "section_name", "places")]):
+                if places:
+                    g = reader.read(value, [x // 4 for x in places], section)
                     rows.append((i, doc, para, g["kinds"], g["cls"], g["open"], g["weak"], g["head"], g["tail"], g["mark"], g["asked"], g["breaks"], g["kept"] if texts else None))
             cols = list(zip(*rows)) if rows else [[] for _ in kinds]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds.values())], names=list(kinds))
@@ -810,28 +1009,25 @@ class Scan:
     def __init__(self, sections: DataFrame, texts: bool = False):
         spark = sections.sparkSession
         source = sections.select("section_id", "doc_id", "value", "paragraph_number", "pdf_page", "empirical_page_number", "section_name").filter("value is not null")
-        met = Counter()
-        for r in hashed_sample(source.select("section_id", "value").filter("section_id is not null"), "section_id", WORD_SAMPLE):
-            met.update(r["value"].split())
-        met = Counter(_bare(met))
-        common = dict(sorted(((w, n) for w, n in met.items() if "-" not in w), key=lambda x: (-x[1], x[0]))[:TRAIN_WORDS])
-        misreadings, pairs = learn_misreadings(common, met)
+        words, _ = materialize(source.select("value").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+        misreadings, pairs = learned(words)
         folding = Folding(misreadings)
         evidence, _ = materialize(source.mapInArrow(_evidence(folding), _SEEN), "evidence")
-        words, _ = materialize(evidence.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "words")
         editor = Editor(misreadings)
         mates, _ = materialize(with_mates(words, words, editor), "mates")
         quiet = words.filter(~F.col("word").rlike(_LOOKS_NUMERIC) & ~F.col("word").contains("-")).orderBy(F.desc("n"), "word").limit(2 * COMMON).join(mates.select("word"), "word", "left_anti")
         clean = frozenset(r["word"] for r in quiet.orderBy(F.desc("n"), "word").limit(COMMON).collect())  # at most COMMON words
-        joined, _ = materialize(source.join(facts(source, evidence), "section_id", "left"), "with-facts")
-        reader = spark.sparkContext.broadcast(Reader(fit_furniture(joined, editor.folding), editor.folding, clean))  # bounded: weights and COMMON words
+        joined = source.join(facts(source, evidence), "section_id", "left")
+        kept_cols = ["section_id", "doc_id", "value", "paragraph_number", "section_name", "places"]
+        joined, _ = materialize(joined.mapInArrow(_numbered(folding, kept_cols), "section_id long, doc_id string, value string, paragraph_number int, section_name string, places array<int>"), "with-places")
+        reader = spark.sparkContext.broadcast(Reader(fit_furniture(joined), folding, clean))  # bounded: weights and COMMON words
         self.read, _ = materialize(joined.mapInArrow(_reading(reader, texts), _READ), "read")
         self.follow, _ = materialize(_follow(self.read), "follow")
         of = lambda k: F.split_part("b", F.lit("\x01"), F.lit(k))
         self.breaks = self.read.select("section_id", F.explode("breaks").alias("b")).select("section_id", of(1).alias("left"), of(2).alias("mark"), of(3).alias("right"))
         distinct = self.breaks.select("left", "mark", "right").unionByName(self.follow.filter("left is not null").select("left", "mark", "right")).distinct()
         counted = break_counts(distinct, words)
-        kept = spark.sparkContext.broadcast(train_editor(words, counted, misreadings, pairs))  # bounded: weights
+        kept = spark.sparkContext.broadcast(train_editor(words, mates, counted, misreadings, pairs))  # bounded: weights
         self.joins, _ = materialize(joined_breaks(counted, words, kept), "joins")
         self.fixed, _ = materialize(repaired_words(words, words, kept, mates), "fixed")
         self.asked = self.read.select("section_id", F.explode("asked").alias("word"))

@@ -176,3 +176,43 @@ def test_paragraphs_over_block_borders(spark):
     rows += [(n + k, "long", v, k, None, None, None, "x") for k, v in enumerate(chain)]
     got = [r for r in C.paragraphs(spark.createDataFrame(rows, SECTIONS)).filter("doc_id = 'long'").collect()]
     assert [(r["paragraph_no"], r["n_rows"]) for r in got] == [(0, len(chain))]
+
+
+def test_misreadings_come_from_all_words(spark):
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abdeghiklmnoprstu") for _ in range(n))
+    words = {word(10): 5000 for _ in range(4500)}  # commoner than any that is misread
+    printed = sorted({word(9) for _ in range(300)} | {word(5) for _ in range(200)})
+    words |= {w: 700 for w in printed} | {"µm": 4000, "pm": 30, "um": 20, "nm": 9, "olive-grey": 900, "x" * 3000: 1}
+    for w in printed:
+        for r, p in (("z", "e"), ("ii", "n"), ("m", "rn"), ("rn", "m")):
+            if p in w:
+                words.setdefault(w.replace(p, r, 1), 1 + len(w) % 7)
+    rules, pairs = C.learned(spark.createDataFrame(list(words.items()), "word string, n long"))
+    common = {w: n for w, n in words.items() if n >= 50 and "-" not in w}
+    want, shown = C.learn_misreadings(common, words)
+    assert rules == want and {("z", "e"), ("ii", "n"), ("m", "rn")} <= set(rules)
+    got = [tuple(r) for r in pairs.collect()]
+    assert len(got) == len(set(got)) > 400 and set(got) == set(shown)
+
+
+def test_tagger_learns_from_all_lines(spark):
+    shapes = {s: C.line_shape(s) for s in ("Mycol. Res.", "Smith et al.", "spores smooth and hyaline in water, wide", "Notes — Fungi", "12", "(dry)")}
+    places = [(shape, pages, gap, first, False, first, not first) for shape in shapes.values() for pages in (0, 2, 3) for gap in C._GAPS for first in (True, False)]
+    assert [C.place_of(C.place_code(*p)) for p in places] == places
+    text, head = (C.place_code(shapes[s], 3, "-", False, False, False, False) for s in ("spores smooth and hyaline in water, wide", "Smith et al."))
+    rows = [([4 * text] * 5,) for _ in range(30_000)] + [([4 * head + 1],)] * 100
+    net = C.fit_furniture(spark.createDataFrame(rows, "places array<int>"))
+    reader = C.Reader(net, C.Folding([]))
+    assert reader.place_class(head) == 1 and reader.place_class(text) == 0
+
+
+def test_editor_learns_from_all_examples(spark):
+    words = spark.createDataFrame([(f"{a}{b}{c}", 90) for a in ("hya", "spo", "cla", "mar") for b in ("li", "re", "va") for c in ("ne", "te", "nus")], "word string, n long")
+    none = spark.createDataFrame([], "word string, mates array<string>")
+    breaks = [("spore", "-", f"w{k}x", 9, 0, 5, 5) for k in range(4000)] + [("olive", "=", f"g{k}y", 0, 9, 80, 80) for k in range(9000)]
+    counted = spark.createDataFrame(breaks, "left string, mark string, right string, whole long, own long, last long, first long")
+    pairs = spark.createDataFrame([("smoofh", "smooth")], "word string, whole string")
+    e = C.train_editor(words, none, counted, RULES, pairs)  # two blocks
+    assert e.joins(C.Break(("hya", "-", "line", (9, 0, 0, 0, False, False)))) and not e.joins(C.Break(("olive", "-", "grey", (0, 9, 80, 80, False, False))))
+    assert e.repair("smoofh", ["smooth"]) == "smooth" and e.number("l2.5") == "12.5"
