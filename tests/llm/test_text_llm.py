@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from sporeline.llm import chunking as K
 from sporeline.llm import languages as G
 from sporeline.llm import sentences as S
@@ -144,3 +146,25 @@ def test_an_edit_alters_neighbours_only():
 def test_no_boundaries_at_all():
     parts = K.pieces("A" * 7001, MODEL)
     assert whole("A" * 7001, parts) == "A" * 7001 and len(parts) >= 4
+
+
+def test_sentence_statistics_and_models_take_all_rows(spark):
+    body = ["Cap viscid when moist.", "Stem white.", "Gills free.", "Spores smooth."]
+    own = {i: [*body[i % 4 :], *body[: i % 4], *(["Near zq."] if i % 3 == 0 else [])] for i in range(9000)}
+    rows = [(i, " ".join(v), "菌盖光滑。菌柄白色。孢子椭圆形。" if i % 50 == 0 else None, "x") for i, v in own.items()]
+    df = spark.createDataFrame(rows, "row_id long, description string, materials_examined string, extra string")
+    got = S.table_statistics(*S.parsed_table(df, "row_id", S.FIELDS))
+    want = S.Statistics([c for r in rows for c in r[1:3] if c])
+    assert got.n["zq"] == want.n["zq"] / 1.5 == 2000 and got.starters["Cap"] == want.starters["Cap"] / 1.5 == 1500
+    starts = {i: [sum(len(x) + 1 for x in v[:k]) for k in range(len(v))] for i, v in own.items()}
+    found = S.found_starts(df, "row_id", S.FIELDS).filter("field_name = 'description'").groupBy("row_id").agg(F.sort_array(F.collect_list("sent_start"))).collect()
+    assert {i: list(v) for i, v in found} == starts
+    assert S.found_starts(df.limit(0), "row_id", S.FIELDS).count() == 0
+
+
+def test_shares_of_sentence_statistics_hold_at_any_size(spark):
+    # an epithet that 15 texts of 12,000 have before a capital, never at an end: seldom met, no abbreviation
+    rows = [(i, "Cap viscid near R. conicus. Gills free." if i < 15 else "Cap viscid, leg. Smith near Oslo. Gills free. Stem white.", None) for i in range(12_000)]
+    df = spark.createDataFrame(rows, "row_id long, description string, materials_examined string")
+    st = S.table_statistics(*S.parsed_table(df, "row_id", S.FIELDS))
+    assert not st.abbreviation("conicus", False) and st.abbreviation("leg", False) and not st.abbreviation("white", False)
